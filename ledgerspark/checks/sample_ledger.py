@@ -53,6 +53,16 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     year, month = F.year("l_shipdate"), F.month("l_shipdate")
+    file_name = F.concat(
+        F.lit("ledger_fy"),
+        F.substring(year.cast("string"), 3, 2),
+        F.lit("_qtr"),
+        F.quarter("l_shipdate").cast("string"),
+        F.lit(".csv"),
+    )
+    # One source file holds one quarter. Gathering the files here, before the lines
+    # widen to 36 texts, is the only shuffle that writing by year or by file needs.
+    lines = lines.withColumn("source_path", file_name).hint("rebalance", "source_path")
     agency = F.lpad(text("n_nationkey"), 3, "0")
     urgent = F.col("o_orderpriority") == "1-URGENT"
     ledger = F.lit("ENCUMBRANCE")
@@ -88,16 +98,9 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             "-", *[text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
         ),
     }
-    file_name = F.concat(
-        F.lit("ledger_fy"),
-        F.substring(year.cast("string"), 3, 2),
-        F.lit("_qtr"),
-        F.quarter("l_shipdate").cast("string"),
-        F.lit(".csv"),
-    )
     return lines.select(
         *[values.get(c, F.lit(None)).cast("string").alias(c) for c in RAW_COLUMNS],
-        file_name.alias("source_path"),
+        "source_path",
     )
 
 
@@ -132,13 +135,12 @@ class Layers:
     def csv_root(self) -> str:
         """Folder of raw CSV files, one folder of part files per source file."""
         path = f"{self.root}/raw"
-        lines = self.raw.withColumnRenamed("source_path", "file")
-        write_csv(lines.hint("rebalance", "file"), path, ["file"])
+        write_csv(self.raw.withColumnRenamed("source_path", "file"), path, ["file"])
         return path
 
     @cached_property
     def silver(self) -> DataFrame:
-        return build_silver(self.raw, f"{self.root}/silver/stg_ledger", rebalance=True)
+        return build_silver(self.raw, f"{self.root}/silver/stg_ledger")
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:

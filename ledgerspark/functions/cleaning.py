@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns for Unicode-space trimming and for plain numeric text.
+# Surrounding Unicode spaces, and characters no plain number contains.
 UNICODE_SPACES = r"^\p{Zs}+|\p{Zs}+$"
-NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NOT_IN_NUMBERS = r"[^0-9+\-.eE\s]"
 
 
 def trim_text(c: Column, unicode_trim: bool = False) -> Column:
@@ -35,10 +35,10 @@ def coalesce_nonblank(*cols: Column, unicode_trim: bool = False) -> Column:
 def safe_int(c: Column) -> Column:
     """Text as int by way of double, rounding halves to even; NULL when not a number.
 
-    The pattern keeps out texts such as ``5d`` that Spark reads as doubles.
+    The pattern keeps out texts such as ``5d`` and ``0x1p3`` that Spark reads as doubles.
     """
     text = c.cast("string")
-    return F.when(text.rlike(NUMERIC_TEXT), F.rint(text.try_cast("double")).try_cast("int"))
+    return F.when(~text.rlike(NOT_IN_NUMBERS), F.rint(text.try_cast("double")).try_cast("int"))
 
 
 def money(c: Column, clean_currency: bool = False, precision: int = 18, scale: int = 2) -> Column:

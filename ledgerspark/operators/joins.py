@@ -55,12 +55,16 @@ def weighted_sum(
     """Sum per group as if every lookup had been left-joined, without repeating rows.
 
     A key with n lookup rows would repeat its rows n times, so the amount is
-    multiplied by n instead. The joined tables hold one row per key, which keeps
-    the row count at that of ``df`` however many names a key has.
+    multiplied by n instead. Only keys with several rows are joined, one row each,
+    which keeps the row count at that of ``df`` however many names a key has.
     """
     weights = []
     for i, lookup in enumerate(lookups):
-        counts = lookup.table.groupBy(lookup.dim_key).agg(F.count(F.lit(1)).alias(f"__n{i}"))
+        counts = (
+            lookup.table.groupBy(lookup.dim_key)
+            .agg(F.count(F.lit(1)).alias(f"__n{i}"))
+            .where(F.col(f"__n{i}") > 1)
+        )
         df = _attach(df, Lookup(counts, lookup.fact_key, lookup.dim_key, [f"__n{i}"]), "left")
         weights.append(F.coalesce(F.col(f"__n{i}"), F.lit(1).cast("long")))
     weight = reduce(lambda a, b: a * b, weights, F.lit(1).cast("long")).cast("decimal(19,0)")

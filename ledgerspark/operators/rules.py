@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.aggregates import MONEY_SUM, money_sum
+from ledgerspark.sources.seeds import small_table
 
 
 def duplicate_values(df: DataFrame, column: str) -> DataFrame:
@@ -49,7 +50,7 @@ def allowed_pairs(
     """
     if isinstance(rules, dict):
         pairs = [(k, v) for k, values in rules.items() for v in values]
-        rules = df.sparkSession.createDataFrame(pairs, "key string, value string")
+        rules = small_table(df.sparkSession, pairs, "key string, value string")
     keys = rules.select(F.col("key").alias("__k")).distinct()
     pairs_df = rules.select(F.col("key").alias("__k"), F.col("value").alias("__v"))
     ruled = df.dropna(subset=[value]).join(keys, F.col(key) == F.col("__k"), "left_semi")

@@ -14,6 +14,7 @@ from ledgerspark.functions import (
     surrogate_key,
     trim_text,
 )
+from ledgerspark.functions.cleaning import all_present
 
 # Raw column and the silver column that it becomes, in silver order.
 SILVER_NAMES = {
@@ -78,6 +79,10 @@ def _cleaners(
     def blank(name: str) -> Column:
         return blank_to_null(F.col(name), unicode_trim=unicode_trim)
 
+    def number(name: str) -> Column:
+        # The cast strips spaces and turns blanks into NULL by itself.
+        return safe_int(trim_text(F.col(name), True) if unicode_trim else F.col(name))
+
     def first(*names: str) -> Column:
         pick = coalesce_nonblank if nonblank_fallback else coalesce_trimmed
         return pick(*[F.col(n) for n in names], unicode_trim=unicode_trim)
@@ -86,8 +91,8 @@ def _cleaners(
         "AGENCYNBR": blank_to_null(first("AGENCYNBR", "OPERATING_UNIT"), trim=False),
         "AGENCYNAME": first("AGENCYNAME", "OPERUNITDESCR"),
         "LEDGER": blank("LEDGER"),
-        "FISCAL_YEAR": safe_int(blank("FISCAL_YEAR")),
-        "ACCOUNTING_PERIOD": safe_int(blank("ACCOUNTING_PERIOD")),
+        "FISCAL_YEAR": number("FISCAL_YEAR"),
+        "ACCOUNTING_PERIOD": number("ACCOUNTING_PERIOD"),
         # Fund and account keep surrounding spaces: only the empty text is blank.
         "FUND_CODE": blank_to_null(F.col("FUND_CODE"), trim=False),
         "ACCOUNT": blank_to_null(F.col("ACCOUNT"), trim=False),
@@ -119,8 +124,12 @@ def clean_ledger(
 
 
 def quality_filter(df: DataFrame, required: list[str] | None = None) -> DataFrame:
-    """Rows in which every required column is present."""
-    return df.dropna(how="any", subset=required or REQUIRED)
+    """Rows in which every required column is present.
+
+    Separate conditions rather than ``dropna``, whose single expression Spark can
+    only evaluate as a whole: these move to the scans one by one.
+    """
+    return df.where(all_present(required or REQUIRED))
 
 
 def file_fiscal_quarter(source_path: Column) -> Column:

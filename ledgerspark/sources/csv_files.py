@@ -8,6 +8,7 @@ import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,15 @@ def _options(multi_line: bool, skip_unreadable: bool = False) -> dict[str, objec
     }
 
 
+def _paths(spark: SparkSession, glob: str) -> list[str]:
+    try:
+        return sorted(r.path for r in list_files(spark, glob).select("path").collect())
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
 def _header(spark: SparkSession, path: str, skip_unreadable: bool) -> tuple[str, ...] | None:
     """Column names of one file; None when it is empty or, if allowed, unreadable."""
     try:
@@ -86,8 +96,7 @@ def read_csv_by_name(
     NULL for absent columns. A file that cannot be read fails the job, unless
     ``skip_unreadable`` asks to go on without it.
     """
-    found = list_files(spark, f"{root.rstrip('/')}/{pattern}").select("path").collect()
-    groups = _by_header(spark, sorted(r.path for r in found), skip_unreadable)
+    groups = _by_header(spark, _paths(spark, f"{root.rstrip('/')}/{pattern}"), skip_unreadable)
     if not groups:
         raise FileNotFoundError(f"no readable CSV file matches {root}/{pattern}")
     parts = []
