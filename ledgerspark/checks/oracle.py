@@ -6,7 +6,17 @@ not the shortcuts of the DataFrame plans, so that agreement says something.
 
 from __future__ import annotations
 
-from ledgerspark.plans.suites import FISCAL_YEARS, GOLD_SUITE, LEDGERS, SILVER_SUITE
+from ledgerspark.plans.suites import (
+    AGENCY_MART_SUITE,
+    FACT_SUITE,
+    FISCAL_YEARS,
+    FUND_MART_SUITE,
+    GOLD_SUITE,
+    KPI_SUITE,
+    LEDGERS,
+    SILVER_COLUMN_SUITE,
+    SILVER_SUITE,
+)
 
 MEASURES = """
     cast(sum(case when {positive} then amount else 0 end) as decimal(38,2)) as total_revenue,
@@ -190,6 +200,29 @@ TABLES: dict[str, tuple[list[str], str]] = {
     from fact t left join departments d on t.department_sk = d.department_sk
     group by 1, 2, 3""",
     ),
+    "fund_mart": (
+        ["fact"],
+        f"""
+    select t.fiscal_year, t.accounting_period as month, f.fund_business_key as fund_code,
+           f.fund_name, {ROLLUP}
+    from fact t left join funds f on t.fund_sk = f.fund_sk
+    where f.fund_sk is not null group by 1, 2, 3, 4""",
+    ),
+    "agency_mart": (
+        ["fact"],
+        f"""
+    select t.fiscal_year, a.agency_business_key as agency_id, a.agency_name,
+           f.fund_business_key as fund_code, f.fund_name, {ROLLUP}
+    from fact t left join agencies a on t.agency_sk = a.agency_sk
+    left join funds f on t.fund_sk = f.fund_sk
+    where a.agency_sk is not null and f.fund_sk is not null group by 1, 2, 3, 4, 5""",
+    ),
+    "file_quarters": (
+        ["silver"],
+        """
+    select *, cast(regexp_extract(source_path, '_qtr([1-4])', 1) as integer)
+      as file_fiscal_quarter from silver""",
+    ),
     "scaffold": (
         ["fact"],
         """
@@ -237,7 +270,14 @@ TABLES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def sql(select: str, *reads: str) -> str:
+class Composed(str):
+    """Complete SQL text that remembers its last part and the subqueries in front."""
+
+    select: str
+    reads: list[str]
+
+
+def sql(select: str, *reads: str) -> Composed:
     """``select`` with the named subqueries that it needs in front."""
     needed: list[str] = []
 
@@ -250,7 +290,9 @@ def sql(select: str, *reads: str) -> str:
     for name in reads:
         add(name)
     ctes = ",\n".join(f"{name} as ({TABLES[name][1]})" for name in needed)
-    return f"with {ctes}\n{select}" if ctes else select
+    text = Composed(f"with {ctes}\n{select}" if ctes else select)
+    text.select, text.reads = select, needed
+    return text
 
 
 def variance(table: str, keys: str, condition: str) -> str:
@@ -307,6 +349,10 @@ where {c} is not null group by {c} having count(*) > 1))"
         elif e.kind == "expect_column_values_to_be_between":
             passes = f"{c} between {e.min_value} and {e.max_value}"
             rows.append(value_check(table, e.kind, c, passes, e.mostly))
+        elif e.kind == "expect_column_to_equal_expression":
+            rows.append(value_check(table, e.kind, c, f"{c} = {e.expression}"))
+        elif e.kind == "expect_expression_to_be_true":
+            rows.append(value_check(table, e.kind, c, e.expression))
         elif e.kind == "expect_column_min_to_be_between":
             rows.append(check(table, e.kind, c, f"min({c}) >= {e.min_value}", seen=f"min({c})"))
         elif e.kind == "expect_column_max_to_be_between":
@@ -348,11 +394,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "stage_ledger": sql("select * from silver", "silver"),
     "file_quarters": sql(
-        """
-    select source_path, cast(regexp_extract(source_path, '_qtr([1-4])', 1) as integer)
-             as file_fiscal_quarter, count(*) as lines
-    from silver group by 1, 2""",
-        "silver",
+        "select source_path, file_fiscal_quarter, count(*) as lines from file_quarters group by 1, 2",
+        "file_quarters",
     ),
     "clean_trim_nullif": sql(
         """
@@ -470,23 +513,8 @@ ORACLE_SQL: dict[str, str] = {
         "fact",
     ),
     "kpi_monthly_summary": sql("select * from kpi", "kpi"),
-    "mart_fund_year_period": sql(
-        f"""
-    select t.fiscal_year, t.accounting_period as month, f.fund_business_key as fund_code,
-           f.fund_name, {ROLLUP}
-    from fact t left join funds f on t.fund_sk = f.fund_sk
-    where f.fund_sk is not null group by 1, 2, 3, 4""",
-        "fact",
-    ),
-    "mart_agency_fund_year": sql(
-        f"""
-    select t.fiscal_year, a.agency_business_key as agency_id, a.agency_name,
-           f.fund_business_key as fund_code, f.fund_name, {ROLLUP}
-    from fact t left join agencies a on t.agency_sk = a.agency_sk
-    left join funds f on t.fund_sk = f.fund_sk
-    where a.agency_sk is not null and f.fund_sk is not null group by 1, 2, 3, 4, 5""",
-        "fact",
-    ),
+    "mart_fund_year_period": sql("select * from fund_mart", "fund_mart"),
+    "mart_agency_fund_year": sql("select * from agency_mart", "agency_mart"),
     "department_spend_monthly": sql("select * from monthly", "monthly"),
     "variance_vs_prior_month": sql(
         """
@@ -570,6 +598,21 @@ ORACLE_SQL: dict[str, str] = {
     from orders group by 1""",
     "expectations_silver": sql(suite("silver", SILVER_SUITE), "silver"),
     "expectations_gold": sql(suite("kpi", GOLD_SUITE), "kpi"),
+    "expectations_silver_columns": sql(
+        suite("file_quarters", SILVER_COLUMN_SUITE), "file_quarters"
+    ),
+    "expectations_kpi": sql(suite("kpi", KPI_SUITE), "kpi"),
+    "expectations_marts": sql(
+        " union all ".join(
+            [
+                suite("fact", FACT_SUITE),
+                suite("fund_mart", FUND_MART_SUITE),
+                suite("agency_mart", AGENCY_MART_SUITE),
+            ]
+        ),
+        "fund_mart",
+        "agency_mart",
+    ),
     "expectation_failures": sql(
         f"select * from ({suite('silver', SILVER_SUITE)}) where not success", "silver"
     ),

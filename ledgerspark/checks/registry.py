@@ -15,11 +15,16 @@ from ledgerspark.operators.aggregates import money_sum
 from ledgerspark.operators.quality import EQUAL_TO, IN_SET, VALUES_BETWEEN, Expectation
 from ledgerspark.plans.staging import RAW_COLUMNS, file_fiscal_quarter, quality_filter
 from ledgerspark.plans.suites import (
+    AGENCY_MART_SUITE,
+    FACT_SUITE,
     FISCAL_YEARS,
+    FUND_MART_SUITE,
     GOLD_SUITE,
+    KPI_SUITE,
     LEDGER_CONTRACT,
     MONTHS,
     NET_BALANCE,
+    SILVER_COLUMN_SUITE,
     SILVER_SUITE,
 )
 from ledgerspark.session import fresh_path
@@ -439,6 +444,25 @@ def suite_statistics(x: Layers) -> DataFrame:
     return op.statistics(op.run_suite(x.kpi, GOLD_SUITE))
 
 
+@on_layers
+def expectations_silver_columns(x: Layers) -> DataFrame:
+    quarter = file_fiscal_quarter(F.col("source_path"))
+    return op.run_suite(x.silver.withColumn("file_fiscal_quarter", quarter), SILVER_COLUMN_SUITE)
+
+
+@on_layers
+def expectations_kpi(x: Layers) -> DataFrame:
+    return op.run_suite(x.kpi, KPI_SUITE)
+
+
+@on_layers
+def expectations_marts(x: Layers) -> DataFrame:
+    """Column tests of the fact and of the two fund marts."""
+    funds = op.run_suite(plans.mart_fund_year_period(x.fact, x.dims), FUND_MART_SUITE)
+    agencies = op.run_suite(plans.mart_agency_fund_year(x.fact, x.dims), AGENCY_MART_SUITE)
+    return op.run_suite(x.fact, FACT_SUITE).unionByName(funds).unionByName(agencies)
+
+
 @on_layers
 def in_set_mostly(x: Layers) -> DataFrame:
     """Sets, bounds and an equality whose passing shares lie on both sides of the limit."""

@@ -14,7 +14,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.aggregates import MONEY_SUM
+from ledgerspark.operators.aggregates import MONEY_SUM, money_sum
+from ledgerspark.session import fresh_path
+from ledgerspark.sources.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -49,26 +51,46 @@ def decorate(df: DataFrame, lookups: list[Lookup], columns: list[str]) -> DataFr
     return star_join(df, lookups, columns, "left")
 
 
+def repeated_keys(lookups: list[Lookup]) -> tuple[DataFrame, set[int]]:
+    """(lookup, key, n) for keys with several rows, and which lookups have any.
+
+    Written to the shared folder when called, so that the joins on it know its size:
+    a small one is broadcast, a large one is a plain scan whose join can be split.
+    """
+    parts = [
+        lk.table.dropna(subset=[lk.dim_key])
+        .groupBy(F.col(lk.dim_key).cast("string").alias("key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select(F.lit(i).alias("lookup"), "key", "n")
+        for i, lk in enumerate(lookups)
+    ]
+    keys = reduce(DataFrame.unionByName, parts)
+    keys = materialize(keys, fresh_path(keys.sparkSession, "repeated_keys"), "lookup")
+    return keys, {r.lookup for r in keys.select("lookup").distinct().collect()}
+
+
 def weighted_sum(
     df: DataFrame, lookups: list[Lookup], by: list[str], amount: str, name: str
 ) -> DataFrame:
     """Sum per group as if every lookup had been left-joined, without repeating rows.
 
     A key with n lookup rows would repeat its rows n times, so the amount is
-    multiplied by n instead. Only keys with several rows are joined, one row each,
-    which keeps the row count at that of ``df`` however many names a key has.
+    multiplied by n instead. Only lookups in which some key has several rows are
+    joined, one row per such key; usually there is none and nothing is joined.
     """
-    weights = []
-    for i, lookup in enumerate(lookups):
-        counts = (
-            lookup.table.groupBy(lookup.dim_key)
-            .agg(F.count(F.lit(1)).alias(f"__n{i}"))
-            .where(F.col(f"__n{i}") > 1)
-        )
-        df = _attach(df, Lookup(counts, lookup.fact_key, lookup.dim_key, [f"__n{i}"]), "left")
-        weights.append(F.coalesce(F.col(f"__n{i}"), F.lit(1).cast("long")))
-    weight = reduce(lambda a, b: a * b, weights, F.lit(1).cast("long")).cast("decimal(19,0)")
-    return df.groupBy(*by).agg(F.sum((F.col(amount) * weight).cast(MONEY_SUM)).alias(name))
+    if not lookups:
+        return df.groupBy(*by).agg(money_sum(amount).alias(name))
+    keys, repeated = repeated_keys(lookups)
+    weight = F.lit(1).cast("long")
+    for i in sorted(repeated):
+        one = keys.where(F.col("lookup") == i).select("key", F.col("n").alias(f"__n{i}"))
+        df = _attach(df, Lookup(one, lookups[i].fact_key, "key", [f"__n{i}"]), "left")
+        weight = weight * F.coalesce(F.col(f"__n{i}"), F.lit(1).cast("long"))
+    value = F.col(amount)
+    if repeated:
+        value = (value * weight.cast("decimal(19,0)")).cast(MONEY_SUM)
+    return df.groupBy(*by).agg(money_sum(value).alias(name))
 
 
 def one_name_per_key(dim: DataFrame, key: str, name: str) -> DataFrame:

@@ -22,31 +22,33 @@ def table_profile(df: DataFrame, exact: bool = False, rsd: float = 0.05) -> Data
     standard deviation are NULL for columns that are not numeric.
     """
     aggs, rows = [F.count(F.lit(1)).alias("n")], []
+    nothing = F.lit(None)
     for i, f in enumerate(df.schema.fields):
         c = F.col(f.name)
-        numeric = isinstance(f.dataType, T.NumericType)
-        number = c.cast("double") if numeric else F.lit(None).cast("double")
         aggs += [
             F.count(c).alias(f"present{i}"),
             F.min(c).cast("string").alias(f"min{i}"),
             F.max(c).cast("string").alias(f"max{i}"),
-            F.avg(number).alias(f"mean{i}"),
-            F.stddev(number).alias(f"stddev{i}"),
         ]
+        mean = stddev = nothing.cast("double")
+        if isinstance(f.dataType, T.NumericType):
+            number = c.cast("double")
+            aggs += [F.avg(number).alias(f"mean{i}"), F.stddev(number).alias(f"stddev{i}")]
+            mean, stddev = F.col(f"mean{i}"), F.col(f"stddev{i}")
+        distinct = nothing.cast("long")
         if not exact:
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"distinct{i}"))
+            distinct = F.col(f"distinct{i}")
         rows.append(
             F.struct(
                 F.lit(f.name).alias("column_name"),
                 F.col("n").alias("row_count"),
                 (F.col("n") - F.col(f"present{i}")).alias("null_count"),
-                (F.lit(None).cast("long") if exact else F.col(f"distinct{i}")).alias(
-                    "distinct_count"
-                ),
+                distinct.alias("distinct_count"),
                 F.col(f"min{i}").alias("min"),
                 F.col(f"max{i}").alias("max"),
-                F.col(f"mean{i}").alias("mean"),
-                F.col(f"stddev{i}").alias("stddev"),
+                mean.alias("mean"),
+                stddev.alias("stddev"),
             )
         )
     profile = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")

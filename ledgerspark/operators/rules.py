@@ -51,7 +51,7 @@ def allowed_pairs(
     if isinstance(rules, dict):
         pairs = [(k, v) for k, values in rules.items() for v in values]
         rules = small_table(df.sparkSession, pairs, "key string, value string")
-    keys = rules.select(F.col("key").alias("__k")).distinct()
+    keys = rules.select(F.col("key").alias("__k"))
     pairs_df = rules.select(F.col("key").alias("__k"), F.col("value").alias("__v"))
     ruled = df.dropna(subset=[value]).join(keys, F.col(key) == F.col("__k"), "left_semi")
     match = (F.col(key) == F.col("__k")) & (F.col(value) == F.col("__v"))

@@ -31,10 +31,11 @@ def period_scaffold(
 def missing_from(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Distinct expected rows absent from ``actual``; NULLs compare equal.
 
-    Columns are matched by name and take the expected types.
+    Columns are matched by name and take the expected types. The actual rows are
+    reduced to distinct ones before they are shuffled.
     """
     aligned = actual.select(*[F.col(f.name).cast(f.dataType) for f in expected.schema])
-    return expected.subtract(aligned)
+    return expected.subtract(aligned.distinct())
 
 
 def missing_periods(

@@ -6,15 +6,24 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.operators.joins import orphan_keys
-from ledgerspark.operators.quality import Expectation, gate, run_suite, write_results
-from ledgerspark.operators.rules import allowed_pairs, expression_violations, reconcile
+from ledgerspark.operators.quality import Expectation, failures, gate, run_suite, write_results
+from ledgerspark.operators.rules import allowed_pairs, reconcile
 from ledgerspark.plans import dims as d
 from ledgerspark.plans import marts as m
 from ledgerspark.plans.facts import fct_transactions, transactions_decorated
-from ledgerspark.plans.staging import RAW_COLUMNS, stage_ledger
-from ledgerspark.plans.suites import ALLOWED_ACCOUNTS, GOLD_SUITE, NET_BALANCE, SILVER_SUITE
+from ledgerspark.plans.staging import RAW_COLUMNS, file_fiscal_quarter, stage_ledger
+from ledgerspark.plans.suites import (
+    AGENCY_MART_SUITE,
+    ALLOWED_ACCOUNTS,
+    FACT_SUITE,
+    FUND_MART_SUITE,
+    GOLD_SUITE,
+    SILVER_COLUMN_SUITE,
+    SILVER_SUITE,
+)
 from ledgerspark.sources.csv_files import read_ledger_csv
 from ledgerspark.sources.tables import CONCURRENT_WRITES, export_all, materialize
 
@@ -83,9 +92,20 @@ def build_gold(silver: DataFrame, path: str) -> Gold:
 def model_tests(
     silver: DataFrame, gold: Gold, targets: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Violations of the model rules, by test name; an empty table is a pass."""
+    """Violations of the model rules, by test name; an empty table is a pass.
+
+    Column tests give failed expectations, the others the rows or keys at fault.
+    """
     dims, fact = gold.dims, gold.fact
-    tests = {
+    quarter = file_fiscal_quarter(F.col("source_path"))
+    suites = {
+        "stg_ledger": (silver.withColumn("file_fiscal_quarter", quarter), SILVER_COLUMN_SUITE),
+        "fct_transactions": (fact, FACT_SUITE),
+        "mart_fund_year_period": (gold.marts["mart_fund_year_period"], FUND_MART_SUITE),
+        "mart_agency_fund_year": (gold.marts["mart_agency_fund_year"], AGENCY_MART_SUITE),
+    }
+    tests = {f"columns_{name}": failures(run_suite(*args)) for name, args in suites.items()}
+    tests |= {
         "allowed_account_for_fund": allowed_pairs(silver, "fund_code", "account", ALLOWED_ACCOUNTS),
         "period_completeness": m.missing_period_rows(fact),
     }
@@ -96,8 +116,6 @@ def model_tests(
         ("dim_accounts", "account_sk"),
     ):
         tests[f"relationships_{sk}"] = orphan_keys(fact, sk, dims[dim], sk)
-    for mart in ("mart_fund_year_period", "mart_agency_fund_year"):
-        tests[f"net_balance_{mart}"] = expression_violations(gold.marts[mart], NET_BALANCE)
     if targets is not None:
         tests["reconciliation"] = reconcile(fact, targets)
     return tests
@@ -118,6 +136,7 @@ def run_pipeline(
     silver_suite: list[Expectation] | None = None,
     gold_suite: list[Expectation] | None = None,
     targets: DataFrame | None = None,
+    rebalance: bool = False,
     **staging_options: bool,
 ) -> tuple[Gold, dict[str, DataFrame]]:
     """Raw CSV to ``out/{silver,gold,export,validation}``.
@@ -126,7 +145,7 @@ def run_pipeline(
     gold suite holds. Returns gold and the violations of the model tests.
     """
     raw = read_ledger_csv(spark, raw_root, RAW_COLUMNS, pattern)
-    silver = build_silver(raw, f"{out}/silver/stg_ledger", **staging_options)
+    silver = build_silver(raw, f"{out}/silver/stg_ledger", rebalance, **staging_options)
     checked(silver, silver_suite or SILVER_SUITE, "silver", f"{out}/validation/silver")
     gold = build_gold(silver, f"{out}/gold")
     kpi = materialize(gold.marts["kpi_monthly_summary"], f"{out}/gold/kpi_monthly_summary")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from decimal import Decimal
 
 from ledgerspark.operators.quality import (
+    EQUAL_TO,
     EXISTS,
+    EXPRESSION,
     IN_SET,
     MAX_BETWEEN,
     MIN_BETWEEN,
@@ -41,19 +43,41 @@ SILVER_SUITE = [
     Expectation(MAX_BETWEEN, "amount", max_value=20 * BILLION),
 ]
 
-GOLD_SUITE = [
+# The first nine checks without the bounds are the stored form of the silver suite.
+SILVER_STORED_SUITE = SILVER_SUITE[:9]
+
+SILVER_COLUMN_SUITE = [
+    Expectation(UNIQUE, "ledger_sk"),
     *[
-        Expectation(EXISTS, c)
+        Expectation(NOT_NULL, c)
         for c in (
+            "ledger_sk",
+            "amount",
             "fiscal_year",
-            "month",
-            "department_name",
-            "total_revenue",
-            "total_expenses",
-            "net_amount",
-            "transaction_count",
+            "file_fiscal_quarter",
+            "ledger",
+            "agency_nbr",
+            "account",
+            "dept_id",
         )
     ],
+    Expectation(IN_SET, "fiscal_year", values=FISCAL_YEARS),
+    Expectation(IN_SET, "file_fiscal_quarter", values=FILE_QUARTERS),
+    Expectation(IN_SET, "ledger", values=LEDGERS),
+]
+
+KPI_COLUMNS = (
+    "fiscal_year",
+    "month",
+    "department_name",
+    "total_revenue",
+    "total_expenses",
+    "net_amount",
+    "transaction_count",
+)
+
+GOLD_SUITE = [
+    *[Expectation(EXISTS, c) for c in KPI_COLUMNS],
     *[
         Expectation(NOT_NULL, c)
         for c in ("fiscal_year", "month", "department_name", "net_amount")
@@ -69,6 +93,26 @@ GOLD_SUITE = [
     Expectation(MAX_BETWEEN, "net_amount", max_value=200 * BILLION),
 ]
 
+KPI_SUITE = [
+    *[Expectation(EXISTS, c) for c in KPI_COLUMNS],
+    *[Expectation(NOT_NULL, c) for c in ("fiscal_year", "month", "net_amount")],
+    Expectation(IN_SET, "month", values=tuple(range(1, 13))),
+    Expectation(MIN_BETWEEN, "total_expenses", min_value=-50 * BILLION),
+    Expectation(MAX_BETWEEN, "total_revenue", max_value=50 * BILLION),
+    Expectation(EQUAL_TO, "net_amount", expression="total_revenue + total_expenses"),
+]
+
+FACT_SUITE = [Expectation(NOT_NULL, "amount")]
+
+
+def _mart_suite(*keys: str) -> list[Expectation]:
+    balance = Expectation(EXPRESSION, "net_amount", expression=NET_BALANCE)
+    return [*[Expectation(NOT_NULL, k) for k in keys], balance]
+
+
+FUND_MART_SUITE = _mart_suite("fiscal_year", "month", "fund_code")
+AGENCY_MART_SUITE = _mart_suite("fiscal_year", "agency_id", "fund_code")
+
 LEDGER_CONTRACT = [
     ContractField("amount", "double"),
     ContractField("fiscal_year", "int", ge=2000, le=2050),

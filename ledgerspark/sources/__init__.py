@@ -7,7 +7,13 @@ from ledgerspark.sources.manifest import (
     list_files,
 )
 from ledgerspark.sources.seeds import read_targets, targets_frame
-from ledgerspark.sources.tables import export_all, materialize, read_table, write_table
+from ledgerspark.sources.tables import (
+    export_all,
+    materialize,
+    read_table,
+    register_views,
+    write_table,
+)
 
 __all__ = [
     "changed_files",
@@ -22,6 +28,7 @@ __all__ = [
     "read_ledger_csv",
     "read_table",
     "read_targets",
+    "register_views",
     "targets_frame",
     "write_table",
 ]

@@ -46,6 +46,12 @@ def materialize(
     return read_table(df.sparkSession, path, df)
 
 
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make the tables known to ``spark.sql`` under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def export_all(tables: dict[str, DataFrame], out: str) -> dict[str, str]:
     """Write every table to ``out/<name>``, several at a time; returns the paths."""
     paths = {name: f"{out.rstrip('/')}/{name}" for name in tables}

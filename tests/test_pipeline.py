@@ -8,8 +8,8 @@ from decimal import Decimal as D
 import pytest
 
 from ledgerspark.operators import SuiteFailed
-from ledgerspark.plans import RAW_COLUMNS, run_pipeline, stage_ledger
-from ledgerspark.sources import read_ledger_csv, targets_frame
+from ledgerspark.plans import RAW_COLUMNS, filtered_rollup, run_pipeline, stage_ledger
+from ledgerspark.sources import read_ledger_csv, register_views, targets_frame
 
 LINE = {
     "AGENCYNBR": "090",
@@ -98,6 +98,24 @@ def test_pipeline(spark, raw_root, tmp_path):
     assert violations.pop("reconciliation") == 1
     assert set(violations.values()) == {0}
 
+    register_views({"fct_transactions": gold.fact, **gold.dims, **gold.marts})
+    by_year = spark.sql(
+        "SELECT fiscal_year, department_name, SUM(total_revenue) AS revenue "
+        "FROM kpi_monthly_summary GROUP BY 1, 2 ORDER BY 1 DESC, 2"
+    ).collect()
+    assert [(r.department_name, r.revenue) for r in by_year] == [
+        ("Pay roll", D("60.00")),
+        ("Payroll", D("60.00")),
+    ]
+    one_year = spark.sql(
+        "SELECT department_sk, SUM(amount) AS total FROM fct_transactions "
+        "WHERE fiscal_year = :year GROUP BY 1",
+        args={"year": 2024},
+    ).collect()
+    assert [r.total for r in one_year] == [D("52.00")]
+    kept = filtered_rollup(gold.fact, gold.dims, 2024, "100", "Payroll").collect()
+    assert [(r.department_name, r.total_amount) for r in kept] == [("Payroll", D("32.00"))]
+
 
 def test_gate_stops_before_gold(spark, raw_root, tmp_path):
     write_lines(raw_root / "ledger_fy24_qtr2.csv", [{"ROWID": "r8", "LEDGER": "OTHER"}])
