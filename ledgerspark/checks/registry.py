@@ -126,7 +126,7 @@ def clean_trim_nullif(spark: SparkSession, sf_dir: str) -> DataFrame:
         fn.trim_text(code).alias("trimmed"),
         fn.blank_to_null(code).alias("blank_as_null"),
         fn.blank_to_null(code, trim=False).alias("empty_as_null"),
-        fn.blank_to_null(hard_space, unicode_trim=True).alias("unicode_trimmed"),
+        fn.blank_to_null(hard_space).alias("unicode_trimmed"),
     )
 
 

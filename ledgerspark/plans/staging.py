@@ -80,7 +80,7 @@ def _cleaners(
         return blank_to_null(F.col(name), unicode_trim=unicode_trim)
 
     def number(name: str) -> Column:
-        # The cast strips spaces and turns blanks into NULL by itself.
+        # The cast strips ASCII spaces and turns blanks into NULL by itself.
         return safe_int(trim_text(F.col(name), True) if unicode_trim else F.col(name))
 
     def first(*names: str) -> Column:
@@ -104,7 +104,7 @@ def _cleaners(
 
 def clean_ledger(
     raw: DataFrame,
-    unicode_trim: bool = False,
+    unicode_trim: bool = True,
     clean_currency: bool = False,
     nonblank_fallback: bool = False,
 ) -> DataFrame:

@@ -55,10 +55,10 @@ def test_money(spark):
 
 
 def test_trim(spark):
-    texts = [" a", "\ta", "  a ", "   "]
-    assert evaluate(spark, texts, fn.trim_text) == [" a", "\ta", "a", ""]
-    unicode_trimmed = evaluate(spark, texts, lambda c: fn.trim_text(c, unicode_trim=True))
-    assert unicode_trimmed == ["a", "\ta", "a", ""]
+    texts = ["\u00a0a", "\ta", "  a ", "   "]
+    assert evaluate(spark, texts, fn.trim_text) == ["a", "\ta", "a", ""]
+    ascii_only = evaluate(spark, texts, lambda c: fn.trim_text(c, unicode_trim=False))
+    assert ascii_only == ["\u00a0a", "\ta", "a", ""]
 
 
 def test_blank_to_null(spark):
