@@ -25,7 +25,7 @@ from ledgerspark.plans.suites import (
     SILVER_SUITE,
 )
 from ledgerspark.sources.csv_files import read_ledger_csv
-from ledgerspark.sources.tables import CONCURRENT_WRITES, export_all, materialize
+from ledgerspark.sources.tables import CONCURRENT_WRITES, materialize
 
 DIM_BUILDERS = {
     "dim_agencies": d.dim_agencies,
@@ -139,18 +139,27 @@ def run_pipeline(
     rebalance: bool = False,
     **staging_options: bool,
 ) -> tuple[Gold, dict[str, DataFrame]]:
-    """Raw CSV to ``out/{silver,gold,export,validation}``.
+    """Raw CSV to ``out/{silver,gold,validation}``, every table as zstd Parquet.
 
-    Gold is built only after the silver suite holds, and exported only after the
-    gold suite holds. Returns gold and the violations of the model tests.
+    Gold is built only after the silver suite holds, and the marts are written only
+    after the gold suite holds. Each table is written once, where it is exported.
+    Returns gold and the violations of the model tests.
     """
     raw = read_ledger_csv(spark, raw_root, RAW_COLUMNS, pattern)
     silver = build_silver(raw, f"{out}/silver/stg_ledger", rebalance, **staging_options)
     checked(silver, silver_suite or SILVER_SUITE, "silver", f"{out}/validation/silver")
     gold = build_gold(silver, f"{out}/gold")
-    kpi = materialize(gold.marts["kpi_monthly_summary"], f"{out}/gold/kpi_monthly_summary")
-    gold.marts["kpi_monthly_summary"] = kpi
+
+    def write(name: str) -> DataFrame:
+        gold.marts[name] = materialize(gold.marts[name], f"{out}/gold/{name}")
+        return gold.marts[name]
+
+    kpi = write("kpi_monthly_summary")
     checked(kpi, gold_suite or GOLD_SUITE, "gold", f"{out}/validation/gold")
-    tables = {**gold.dims, "fct_transactions": gold.fact, **gold.marts, "stg_ledger": silver}
-    export_all(tables, f"{out}/export")
+    # The deltas read the written monthly totals instead of the fact once more.
+    monthly = write("int_department_spend_monthly")
+    gold.marts["int_variance_features"] = m.variance_vs_prior_month(monthly)
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        done = {"kpi_monthly_summary", "int_department_spend_monthly"}
+        list(pool.map(write, [name for name in gold.marts if name not in done]))
     return gold, model_tests(silver, gold, targets)

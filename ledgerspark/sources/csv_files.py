@@ -74,11 +74,15 @@ def relative_path(path: Column, root: str) -> Column:
     """The path under ``root``; a folder of part files counts as one file.
 
     Spark reports absolute URIs, which differ between machines, while this path
-    takes part in the ledger key.
+    takes part in the ledger key. Decoding and patterns are only evaluated for the
+    paths that need them, as this runs once per row.
     """
-    bare = re.sub(r"^[a-zA-Z][\w+.-]*:/*", "/", root).rstrip("/")
-    under = F.regexp_replace(F.url_decode(path), f"^.*?{re.escape(bare)}/", "")
-    return F.regexp_replace(under, r"^(?:[^/=]+=)?(.+?\.csv)/part-[^/]+$", "$1")
+    bare = re.sub(r"^[a-zA-Z][\w+.-]*:/*", "/", root).rstrip("/") + "/"
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    plain = F.when(path.contains("%"), decoded).otherwise(path)
+    under = F.substr(plain, F.instr(plain, bare) + F.lit(len(bare)))
+    whole = F.regexp_replace(under, r"^(?:[^/=]+=)?(.+?\.csv)/part-[^/]+$", "$1")
+    return F.when(under.contains("/part-"), whole).otherwise(under)
 
 
 def read_csv_by_name(

@@ -88,9 +88,9 @@ def test_pipeline(spark, raw_root, tmp_path):
     assert decorated.groupBy().sum("amount").collect()[0][0] == D("104.00")
 
     out = tmp_path / "out"
-    exported = sorted(p.name for p in (out / "export").iterdir())
-    assert len(exported) == 16
-    assert spark.read.parquet(f"{out}/export/stg_ledger").count() == 4
+    assert len(list((out / "gold").iterdir())) == 15
+    assert spark.read.parquet(f"{out}/silver/stg_ledger").count() == 4
+    assert spark.read.parquet(f"{out}/gold/mart_completeness_scaffold").count() == 36
     assert any((out / "validation" / "gold").glob("*.json"))
 
     violations = {name: df.count() for name, df in tests.items()}

@@ -31,9 +31,18 @@ def test_malformed_lines_are_dropped_from_every_plan(spark, tmp_path):
 def test_quotes_spaces_and_unicode_names(spark, tmp_path):
     folder = tmp_path / "raw files"
     folder.mkdir()
-    (folder / "é 1.csv").write_text('﻿A,B\n"x, ""y""", z \n')
+    (folder / "é+1 %.csv").write_text('﻿A,B\n"x, ""y""", z \n')
     row = read_csv_by_name(spark, str(folder)).collect()[0]
-    assert (row.A, row.B, row.source_path) == ('x, "y"', " z ", "é 1.csv")
+    assert (row.A, row.B, row.source_path) == ('x, "y"', " z ", "é+1 %.csv")
+
+
+def test_nested_folders_keep_their_path(spark, tmp_path):
+    for year in ("fy22", "fy23"):
+        (tmp_path / year).mkdir()
+        (tmp_path / year / "ledger.csv").write_text("A\n1\n")
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        df = read_csv_by_name(spark, root, "fy*/*.csv")
+        assert {r.source_path for r in df.collect()} == {"fy22/ledger.csv", "fy23/ledger.csv"}
 
 
 def test_multi_line_values(spark, tmp_path):
