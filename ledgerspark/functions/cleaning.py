@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The space separators of Unicode, and characters no plain number contains.
+# The space separators of Unicode (category Zs), any other character, and
+# the characters that no plain number contains.
 UNICODE_SPACES = (
     "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u202f\u205f\u3000"
 )
+NOT_A_SPACE = r"\P{Zs}"
 NOT_IN_NUMBERS = r"[^0-9+\-.eE\s]"
 
 
@@ -23,6 +25,21 @@ def trim_text(c: Column, unicode_trim: bool = True) -> Column:
     return F.trim(c, F.lit(UNICODE_SPACES)) if unicode_trim else F.trim(c)
 
 
+def spaces_in_row(*cols: str) -> Column:
+    """The characters to trim in a row: just U+0020 where all values are ASCII.
+
+    Trimming a long set of characters is several times slower than trimming one, so
+    a row with many texts pays for the set only if it could matter.
+    """
+    row = F.concat_ws("", *cols)
+    return F.when(F.octet_length(row) == F.length(row), " ").otherwise(UNICODE_SPACES)
+
+
+def has_text(c: Column, unicode_trim: bool = True) -> Column:
+    """True when trimming leaves something, NULL for NULL."""
+    return c.rlike(NOT_A_SPACE) if unicode_trim else F.trim(c) != ""
+
+
 def blank_to_null(c: Column, trim: bool = True, unicode_trim: bool = True) -> Column:
     """Empty text as NULL, trimmed first unless ``trim=False``."""
     return F.nullif(trim_text(c, unicode_trim) if trim else c, F.lit(""))
@@ -38,12 +55,17 @@ def coalesce_nonblank(*cols: Column, unicode_trim: bool = True) -> Column:
     return F.coalesce(*[blank_to_null(c, unicode_trim=unicode_trim) for c in cols])
 
 
-def safe_int(c: Column) -> Column:
+def safe_int(c: Column, unicode_trim: bool = True) -> Column:
     """Text as int by way of double, rounding halves to even; NULL when not a number.
 
-    The pattern keeps out texts such as ``5d`` and ``0x1p3`` that Spark reads as doubles.
+    Surrounding spaces do not matter. The pattern keeps out texts such as ``5d`` and
+    ``0x1p3`` that Spark reads as doubles.
     """
     text = c.cast("string")
+    if unicode_trim:
+        # The cast itself strips ASCII spaces; one inside a number fails either way.
+        wide = UNICODE_SPACES[1:]
+        text = F.translate(text, wide, " " * len(wide))
     return F.when(~text.rlike(NOT_IN_NUMBERS), F.rint(text.try_cast("double")).try_cast("int"))
 
 
@@ -52,7 +74,7 @@ def money(c: Column, clean_currency: bool = False, precision: int = 18, scale: i
 
     ``clean_currency`` drops dollar signs and thousands commas first.
     """
-    text = F.regexp_replace(c, "[$,]", "") if clean_currency else c
+    text = F.translate(c, "$,", "") if clean_currency else c
     return text.cast(f"decimal({precision},{scale})")
 
 

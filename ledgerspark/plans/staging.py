@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.functions import (
-    blank_to_null,
-    coalesce_nonblank,
-    coalesce_trimmed,
-    money,
-    safe_int,
-    surrogate_key,
-    trim_text,
-)
-from ledgerspark.functions.cleaning import all_present
+from ledgerspark.functions import money, safe_int, surrogate_key
+from ledgerspark.functions.cleaning import all_present, has_text, spaces_in_row
 
 # Raw column and the silver column that it becomes, in silver order.
 SILVER_NAMES = {
@@ -57,6 +51,10 @@ SILVER_NAMES = {
 }
 RAW_COLUMNS = list(SILVER_NAMES)
 
+# Raw columns that keep surrounding spaces, and those that become numbers.
+UNTRIMMED = ["FUND_CODE", "ACCOUNT"]
+NUMBERS = ["FISCAL_YEAR", "ACCOUNTING_PERIOD", "POSTED_TOTAL_AMT"]
+
 # Columns a silver row must have, and those that make up its key.
 REQUIRED = [
     "agency_nbr",
@@ -71,58 +69,6 @@ REQUIRED = [
 KEY_PARTS = REQUIRED[:-1] + ["project_id", "row_id", "source_path"]
 
 
-def _cleaners(
-    unicode_trim: bool, clean_currency: bool, nonblank_fallback: bool
-) -> dict[str, Column]:
-    """Expressions of the raw columns that need more than a trim."""
-
-    def blank(name: str) -> Column:
-        return blank_to_null(F.col(name), unicode_trim=unicode_trim)
-
-    def number(name: str) -> Column:
-        # The cast strips ASCII spaces and turns blanks into NULL by itself.
-        return safe_int(trim_text(F.col(name), True) if unicode_trim else F.col(name))
-
-    def first(*names: str) -> Column:
-        pick = coalesce_nonblank if nonblank_fallback else coalesce_trimmed
-        return pick(*[F.col(n) for n in names], unicode_trim=unicode_trim)
-
-    return {
-        "AGENCYNBR": blank_to_null(first("AGENCYNBR", "OPERATING_UNIT"), trim=False),
-        "AGENCYNAME": first("AGENCYNAME", "OPERUNITDESCR"),
-        "LEDGER": blank("LEDGER"),
-        "FISCAL_YEAR": number("FISCAL_YEAR"),
-        "ACCOUNTING_PERIOD": number("ACCOUNTING_PERIOD"),
-        # Fund and account keep surrounding spaces: only the empty text is blank.
-        "FUND_CODE": blank_to_null(F.col("FUND_CODE"), trim=False),
-        "ACCOUNT": blank_to_null(F.col("ACCOUNT"), trim=False),
-        "DEPTID": blank("DEPTID"),
-        "POSTED_TOTAL_AMT": money(F.col("POSTED_TOTAL_AMT"), clean_currency),
-        "ROWID": blank("ROWID"),
-    }
-
-
-def clean_ledger(
-    raw: DataFrame,
-    unicode_trim: bool = True,
-    clean_currency: bool = False,
-    nonblank_fallback: bool = False,
-) -> DataFrame:
-    """Rename, trim and cast; rows are kept whether or not they are complete.
-
-    By default a whitespace-only AGENCYNBR blocks the fallback to OPERATING_UNIT;
-    ``nonblank_fallback`` lets it through.
-    """
-    special = _cleaners(unicode_trim, clean_currency, nonblank_fallback)
-    return raw.select(
-        *[
-            special.get(name, trim_text(F.col(name), unicode_trim)).alias(silver)
-            for name, silver in SILVER_NAMES.items()
-        ],
-        "source_path",
-    )
-
-
 def quality_filter(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Rows in which every required column is present.
 
@@ -134,20 +80,74 @@ def quality_filter(df: DataFrame, required: list[str] | None = None) -> DataFram
 
 def file_fiscal_quarter(source_path: Column) -> Column:
     """Quarter 1..4 named by the source file, NULL when it names none."""
-    return F.nullif(F.regexp_extract(source_path, r"_qtr([1-4])", 1), F.lit("")).cast("int")
+    return F.regexp_extract(source_path, r"_qtr([1-4])", 1).try_cast("int")
+
+
+def is_complete(unicode_trim: bool = True, nonblank_fallback: bool = False) -> Column:
+    """Whether a raw line has all the columns that a silver row must have.
+
+    Says the same of the raw texts as ``quality_filter`` of the cleaned columns, and
+    costs less: Spark would evaluate the cleaning once to filter and once to select.
+    """
+
+    def text(c: Column) -> Column:
+        return has_text(c, unicode_trim)
+
+    agency, unit = F.col("AGENCYNBR"), F.col("OPERATING_UNIT")
+    either = F.coalesce(text(agency), F.lit(False)) | text(unit)
+    numbers = [F.col("FISCAL_YEAR"), F.col("ACCOUNTING_PERIOD")]
+    conditions = [
+        either if nonblank_fallback else text(F.coalesce(agency, unit)),
+        *[text(F.col(c)) for c in ("LEDGER", "DEPTID", "ROWID")],
+        *[F.col(c) != "" for c in UNTRIMMED],
+        *[safe_int(c, unicode_trim).isNotNull() for c in numbers],
+    ]
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def stage_ledger(
     raw: DataFrame,
     with_file_quarter: bool = False,
-    **clean_options: bool,
+    unicode_trim: bool = True,
+    clean_currency: bool = False,
+    nonblank_fallback: bool = False,
 ) -> DataFrame:
     """Silver ledger: one row per complete source line, ``ledger_sk`` first.
 
-    Lines are not de-duplicated; see ``dedupe_on_key``.
+    Texts are trimmed, except fund and account, and codes that are blank then make a
+    line incomplete. By default a whitespace-only AGENCYNBR blocks the fallback to
+    OPERATING_UNIT; ``nonblank_fallback`` lets it through. Lines are not
+    de-duplicated; see ``dedupe_on_key``.
     """
-    kept = quality_filter(clean_ledger(raw, **clean_options))
-    silver = kept.select(surrogate_key(*KEY_PARTS).alias("ledger_sk"), "*")
+    lines = raw.where(is_complete(unicode_trim, nonblank_fallback))
+    trimmed = [c for c in RAW_COLUMNS if c not in (*UNTRIMMED, *NUMBERS)]
+    spaces = spaces_in_row(*trimmed) if unicode_trim else F.lit(" ")
+    lines = lines.withColumn("__spaces", spaces)
+
+    def trim(c: Column) -> Column:
+        return F.trim(c, F.col("__spaces"))
+
+    def first(name: str, fallback: str) -> Column:
+        c = F.col(name)
+        if nonblank_fallback:
+            c = F.when(has_text(c, unicode_trim), c)
+        return trim(F.coalesce(c, fallback))
+
+    values = {c: F.col(c) for c in UNTRIMMED} | {
+        "AGENCYNBR": first("AGENCYNBR", "OPERATING_UNIT"),
+        "AGENCYNAME": first("AGENCYNAME", "OPERUNITDESCR"),
+        "FISCAL_YEAR": safe_int(F.col("FISCAL_YEAR"), unicode_trim),
+        "ACCOUNTING_PERIOD": safe_int(F.col("ACCOUNTING_PERIOD"), unicode_trim),
+        "POSTED_TOTAL_AMT": money(F.col("POSTED_TOTAL_AMT"), clean_currency),
+    }
+    typed = lines.select(
+        *[
+            values.get(raw_name, trim(F.col(raw_name))).alias(n)
+            for raw_name, n in SILVER_NAMES.items()
+        ],
+        "source_path",
+    )
+    silver = typed.select(surrogate_key(*KEY_PARTS).alias("ledger_sk"), "*")
     if with_file_quarter:
         silver = silver.withColumn("file_fiscal_quarter", file_fiscal_quarter(F.col("source_path")))
     return silver
