@@ -14,7 +14,7 @@ UNICODE_SPACES = (
     "\u202f\u205f\u3000"
 )
 NOT_A_SPACE = r"\P{Zs}"
-NOT_IN_NUMBERS = r"[^0-9+\-.eE\s]"
+NOT_IN_NUMBERS = r"[^0-9+\-.eE\s\p{Zs}]"
 
 
 def trim_text(c: Column, unicode_trim: bool = True) -> Column:
@@ -61,12 +61,12 @@ def safe_int(c: Column, unicode_trim: bool = True) -> Column:
     Surrounding spaces do not matter. The pattern keeps out texts such as ``5d`` and
     ``0x1p3`` that Spark reads as doubles.
     """
-    text = c.cast("string")
+    text = number = c.cast("string")
     if unicode_trim:
         # The cast itself strips ASCII spaces; one inside a number fails either way.
         wide = UNICODE_SPACES[1:]
-        text = F.translate(text, wide, " " * len(wide))
-    return F.when(~text.rlike(NOT_IN_NUMBERS), F.rint(text.try_cast("double")).try_cast("int"))
+        number = F.translate(text, wide, " " * len(wide))
+    return F.when(~text.rlike(NOT_IN_NUMBERS), F.rint(number.try_cast("double")).try_cast("int"))
 
 
 def money(c: Column, clean_currency: bool = False, precision: int = 18, scale: int = 2) -> Column:

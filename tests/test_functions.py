@@ -24,6 +24,8 @@ def test_safe_int(spark):
         "-0.5": 0,
         "1e3": 1000,
         " 7 ": 7,
+        "\u00a07\u2003": 7,
+        "7\u00a07": None,
         "": None,
         "   ": None,
         "abc": None,
