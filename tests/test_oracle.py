@@ -8,9 +8,12 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from ledgerspark.checks.oracle import ORACLE_SQL
+from ledgerspark.checks.registry import QUERIES as LIBRARY_QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+SQL = {k: v for k, v in entry_points.oracle_sql().items() if k in ORACLE_SQL}
+QUERIES = {k: v for k, v in entry_points.queries().items() if k in LIBRARY_QUERIES}
 
 
 @pytest.fixture(scope="module")
