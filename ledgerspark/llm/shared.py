@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+import ledgerspark
 from ledgerspark.session import fresh_path
 from ledgerspark.sources.tables import read_table
 
@@ -62,6 +66,22 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 16 << 20) -> Iter
             yield batch.slice(start, step)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application."""
+    context, home = spark.sparkContext, Path(ledgerspark.__file__).parent
+    if context.applicationId in _SHIPPED or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="ledgerspark-code-")) / "ledgerspark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(home.rglob("*.py")):
+            out.write(file, file.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def map_slices(
     df: DataFrame,
     f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -72,6 +92,7 @@ def map_slices(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return f(slices(batches))
 
+    ship_code(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

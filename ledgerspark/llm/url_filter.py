@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.shared import ship_code
+
 #: Largest number of rules in one broadcast trie; longer lists are matched in several.
 RULES_PER_TRIE = 200_000
 
@@ -123,6 +125,7 @@ def url_verdicts(
 
 def _match(out: DataFrame, piece: list[tuple[str, str]]) -> DataFrame:
     """Replace rule and verdict where a rule of the piece wins over the earlier pieces'."""
+    ship_code(out.sparkSession)
     shared = out.sparkSession.sparkContext.broadcast(UrlTrie(piece))
 
     @F.pandas_udf("struct<rule string, verdict string>")
