@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import byte_bpe, chat, exact_dedup, language, packing, url_filter
+from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, language, packing, url_filter
 from ledgerspark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,49 @@ select conv_id, n_turns, sha256(whole) as turns_sha256, length(loss) as loss_cha
   sha256(loss) as loss_sha256, formatted_chars
 from joined
 """
+
+
+@query
+def op3_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality.host_quality(table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+ORACLE_SQL["op3_host_quality"] = r"""
+with docs as (
+  select doc_id, source, coalesce(text, '') as body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), lines as (
+  select doc_id, count(*) - count(distinct line) as n_dup_lines
+  from (select doc_id, unnest(string_split(body, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+), windows as (
+  select doc_id, i, words[i:i + 2] as w
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from docs)
+), repeated as (
+  select doc_id, i from windows qualify count(*) over (partition by doc_id, w) > 1
+), covered as (
+  select doc_id, count(distinct i + k) as n_repeat_words
+  from repeated, (values (0), (1), (2)) as t(k) group by doc_id
+), counts as (
+  select d.doc_id, source, len(words) as n_words,
+    length(array_to_string(words, '')) as word_chars,
+    length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
+  from docs d left join lines using (doc_id) left join covered using (doc_id)
+), judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
+), hosts as (
+  select source, count(*) as n, count(*) filter (base_failed) as failed from judged group by source
+), prior as (
+  select avg(failed / n) as m, coalesce(var_samp(failed / n), 0) as v from hosts
+), weight as (
+  select m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 1), 1e6) else 1e6 end as s
+  from prior
+), rates as (
+  select source, (failed + m * s) / (n + s) as rate from hosts, weight
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and rate <= 0.9 as kept
+from judged join rates on judged.source is not distinct from rates.source
+"""
