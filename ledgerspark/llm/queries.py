@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, language, packing, url_filter
+from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, language, licences, packing, url_filter
 from ledgerspark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +189,8 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and rate <= 0.9 as kept
 from judged join rates on judged.source is not distinct from rates.source
 """
+
+
+@query
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
