@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, language, licences, packing, url_filter
+from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, language, licences, packing, suffix_dedup, url_filter
 from ledgerspark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.select("*", F.sha2("kept", 256).alias("kept_sha256")).drop("kept")
+
+
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
