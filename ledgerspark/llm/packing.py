@@ -20,7 +20,7 @@ from ledgerspark.llm.shared import gather, map_slices, stored, text_or_empty
 CAPACITY = 4096
 END_ID = 1
 #: Entries that a worker keeps; a full cache starts anew.
-CACHE = 800_000
+CACHE = 600_000
 
 
 class WordTokenizer:
@@ -221,5 +221,8 @@ def best_fit(pieces: DataFrame, key: str, capacity: int = CAPACITY) -> DataFrame
 def pack_documents(
     docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
-    """Tokenize, cut and pack: the columns of ``tokenized_pieces`` and ``best_fit``."""
-    return best_fit(tokenized_pieces(docs, path, key, text, capacity), key, capacity)
+    """Tokenize, cut and pack: the columns of ``tokenized_pieces`` and ``best_fit``.
+
+    The pieces are stored, because range-sorting reads them twice.
+    """
+    return best_fit(stored(tokenized_pieces(docs, path, key, text, capacity), "lengths"), key, capacity)
