@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, language, licences, packing, suffix_dedup, url_filter
+from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, jaccard, language, licences, packing, suffix_dedup, url_filter
 from ledgerspark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +197,11 @@ from judged join rates on judged.source is not distinct from rates.source
 """
 
 
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(table(spark, sf_dir, "documents"))
