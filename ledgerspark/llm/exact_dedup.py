@@ -84,12 +84,13 @@ class FuseFilter:
         return np.bitwise_xor.reduce(self.table[slots], axis=0) == prints
 
 
-def digests(docs: DataFrame, in_snapshot: Column, key: str, text: str) -> DataFrame:
-    """key, in_snapshot, digest (of the text without white space), bits (60 of it), points, row."""
+def digests(docs: DataFrame, in_snapshot: Column, key: str, text: str, tie: str) -> DataFrame:
+    """key, tie, in_snapshot, digest (of the text without white space), bits (60 of it), points, row."""
     body = text_or_empty(text)
     digest = F.unhex(F.sha2(without_spaces(body), 256))
     rows = docs.select(
         F.col(key).alias("key"),
+        F.col(tie).alias("tie"),
         F.coalesce(in_snapshot, F.lit(False)).alias("in_snapshot"),
         digest.alias("digest"),
         F.length(body).alias("points"),
@@ -102,9 +103,10 @@ def digests(docs: DataFrame, in_snapshot: Column, key: str, text: str) -> DataFr
 def by_digest(rows: DataFrame) -> DataFrame:
     """One entry per digest: digest, bits, n, best. Pre-aggregated within tasks.
 
-    The least ``best`` stays: most code points, then smallest key, null last, then any one row.
+    The least ``best`` stays: most code points, then smallest tie, null last, then any one row.
     """
-    best = F.struct((-F.col("points")).alias("minus"), F.col("key").isNull().alias("none"), "key", "row")
+    none = F.col("tie").isNull().alias("none")
+    best = F.struct((-F.col("points")).alias("minus"), none, "tie", "row", "key")
     return rows.groupBy("digest", "bits").agg(F.count("*").alias("n"), F.min(best).alias("best"))
 
 
@@ -158,14 +160,14 @@ def checked_bytes(docs: DataFrame, positives: DataFrame, text: str) -> DataFrame
 
 def exact_dedup(
     docs: DataFrame, in_snapshot: Column, key: str = "doc_id", text: str = "text",
-    per_filter: int = PER_FILTER,
+    tie: str | None = None, per_filter: int = PER_FILTER,
 ) -> DataFrame:
     """Group equal texts of a snapshot and a new batch, and choose the row that stays.
 
     ``in_snapshot`` tells the rows that are in the snapshot already; null counts as false.
     Texts are equal if identical without white space; null is empty, so all null, empty and
     blank texts are one group. The row with the most code points stays, then the one with the
-    smallest key, a null key last; of rows that are alike in both, one stays.
+    smallest ``tie`` (the key unless given), null last; of rows alike in both, one stays.
 
     The snapshot's digests get a binary fuse filter per bucket. The batch is grouped by
     digest on its own; digests that pass the filter join the snapshot's exact buckets, whose
@@ -174,7 +176,7 @@ def exact_dedup(
     byte check, and copies are counted before they are shuffled.
     """
     ship_code(docs.sparkSession)
-    rows = stored(digests(docs, in_snapshot, key, text), "digests")
+    rows = stored(digests(docs, in_snapshot, key, text, tie or key), "digests")
     old = stored(by_digest(rows.where("in_snapshot")), "snapshot")
     new = by_digest(rows.where(~F.col("in_snapshot")))
     buckets = max(1, -(-old.count() // per_filter))

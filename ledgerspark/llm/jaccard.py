@@ -79,7 +79,7 @@ def band_hashes(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, bands: int, rows_each: int) -> DataFrame:
-    """row, key, cls (hash of the shingle set), size, bands; texts without words are left out."""
+    """row, key, tie, cls (hash of the shingle set), size, bands; texts without words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,15 +90,15 @@ def signatures(rows: DataFrame, bands: int, rows_each: int) -> DataFrame:
                 continue
             flat = pa.array(band_hashes(sets, bands, rows_each).ravel().view(np.int64))
             ends = np.arange(len(sets) + 1, dtype=np.int32) * bands
-            columns = [batch[c].take(pa.array(kept)) for c in ("row", "key")]
+            columns = [batch[c].take(pa.array(kept)) for c in ("row", "key", "tie")]
             columns.append(pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()))
             columns.append(pa.array([len(s) for s in sets], pa.int64()))
             columns.append(pa.ListArray.from_arrays(ends, flat))
-            names = ["row", "key", "cls", "size", "bands"]
+            names = ["row", "key", "tie", "cls", "size", "bands"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    kind = rows.schema["key"].dataType.simpleString()
-    schema = f"row long, key {kind}, cls binary, size long, bands array<long>"
+    key, tie = (rows.schema[c].dataType.simpleString() for c in ("key", "tie"))
+    schema = f"row long, key {key}, tie {tie}, cls binary, size long, bands array<long>"
     return map_slices(rows, run, schema)
 
 
@@ -244,13 +244,14 @@ def links_in_groups(
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-    recall: float = RECALL, block: int = BLOCK,
+    tie: str | None = None, recall: float = RECALL, block: int = BLOCK,
 ) -> DataFrame:
     """Groups of texts linked by a Jaccard similarity of their five-word shingles; one row per document.
 
     Returns key, class_id (the smallest key in the group of texts connected by links), n_links
     (other shingle sets linked with this one), n_copies (rows with the same set, this one
-    included), kept (one row of each group: smallest key, null last, then any one). Texts without words, null and
+    included), kept (one row of each group: smallest ``tie``, which is the key unless given, null last,
+    then any one). Texts without words, null and
     empty ones too, are groups of their own without links. An empty table stays empty.
 
     Rows with equal sets are one class. Classes meet in MinHash bands, as many as ``recall``
@@ -263,8 +264,9 @@ def near_duplicates(
     ship_code(spark)
     bands, rows_each = bands_for(similarity, recall)
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), text_or_empty(text).alias("text")
-    )
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
+        F.col(tie or key).alias("tie"), text_or_empty(text).alias("text"),
+    )
     rows = stored(rows, "texts")
     signed = stored(signatures(rows, bands, rows_each), "signatures")
     classes = signed.groupBy("cls").agg(
@@ -295,8 +297,8 @@ def near_duplicates(
     own = classes.select("cls", "c", "n_copies").join(groups, classes["c"] == groups["node"], "left")
     own = own.select("cls", "c", "n_copies", F.coalesce("group", "c").alias("group")).join(counts, "c", "left")
     own = own.select("cls", "group", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    placed = stored(signed.select("row", "key", "cls").join(own, "cls").drop("cls"), "placed")
-    best = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("best")
+    placed = stored(signed.select("row", "key", "tie", "cls").join(own, "cls").drop("cls"), "placed")
+    best = F.min(F.struct(F.col("tie").isNull().alias("none"), "tie", "row", "key")).alias("best")
     best = placed.groupBy("group").agg(best)
     linked = placed.join(best, "group").select(
         "key", F.col("best.key").alias("class_id"), "n_links", "n_copies", (F.col("row") == F.col("best.row")).alias("kept")

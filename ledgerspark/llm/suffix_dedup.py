@@ -261,14 +261,14 @@ def _kept(data: bytes, spans: list | None, length: int) -> tuple[int, int, bytes
 
 def remove_repeats(
     docs: DataFrame, carried: list[str], text: str = "text", length: int = LENGTH,
-    shard_bytes: int = SHARD_BYTES, heavy: int = HEAVY,
+    as_text: bool = False, shard_bytes: int = SHARD_BYTES, heavy: int = HEAVY,
 ) -> DataFrame:
     """Remove each byte covered by a ``length``-byte string that also starts elsewhere.
 
     Elsewhere is another place of the same or another text; overlaps count, and all strings are
     judged on the input. Texts are UTF-8 bytes, null is empty, and matches do not cross texts.
     Returns ``carried``, n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining
-    bytes, which may end within a character); one row per input row. Repeated rows are
+    bytes; with ``as_text`` a string, without the characters that were cut); one row per input row. Repeated rows are
     repeated texts, so long ones lose everything. An empty table stays empty.
     """
     rows = docs.select(
@@ -290,13 +290,17 @@ def remove_repeats(
                 sizes.append(len(data))
                 for column, value in zip((removed, runs, kept), one, strict=True):
                     column.append(value)
+            if as_text:
+                kept = [x.decode(errors="ignore") for x in kept]
             numbers = [pa.array(x, pa.int64()) for x in (sizes, removed, runs)]
             yield pa.RecordBatch.from_arrays(
-                [batch["carried"], *numbers, pa.array(kept, pa.binary())],
+                [batch["carried"], *numbers, pa.array(kept, pa.string() if as_text else pa.binary())],
                 names=["carried", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
     out = map_slices(
-        both, run, f"carried {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+        both, run,
+        f"carried {kind}, n_bytes long, n_removed long, n_spans long, "
+        f"kept {'string' if as_text else 'binary'}",
+    )
     return out.select(*(F.col(f"carried.`{c}`").alias(c) for c in carried), "n_bytes", "n_removed", "n_spans", "kept")
