@@ -139,7 +139,7 @@ def learn_prototypes(
     cells = parts.select("lang", F.posexplode("vector").alias("at", "value"))
     sums = cells.groupBy("lang", "at").agg(F.sum("value").alias("value")).toPandas()
     wide = sums.pivot(index="lang", columns="at", values="value").sort_index()
-    return wide.index.tolist(), unit(wide.to_numpy(float).reshape(len(wide), -1))
+    return wide.index.tolist(), unit(wide.to_numpy(float).reshape(len(wide), SIZE))
 
 
 def predict_languages(
