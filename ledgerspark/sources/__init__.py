@@ -1,9 +1,17 @@
-from ledgerspark.sources.csv_files import merge_raw, read_csv_by_name, read_ledger_csv
+from ledgerspark.sources.csv_files import (
+    merge_raw,
+    qualified_root,
+    read_csv_by_name,
+    read_ledger_csv,
+    relative_path,
+    unreadable_files,
+)
 from ledgerspark.sources.manifest import (
     changed_files,
     file_manifest,
     file_status,
     ingest_summary,
+    line_checksums,
     list_files,
 )
 from ledgerspark.sources.seeds import read_targets, targets_frame
@@ -21,14 +29,18 @@ __all__ = [
     "file_manifest",
     "file_status",
     "ingest_summary",
+    "line_checksums",
     "list_files",
     "materialize",
     "merge_raw",
+    "qualified_root",
     "read_csv_by_name",
     "read_ledger_csv",
     "read_table",
     "read_targets",
     "register_views",
+    "relative_path",
     "targets_frame",
+    "unreadable_files",
     "write_table",
 ]

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import csv
 import logging
+import posixpath
 import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +23,13 @@ from ledgerspark.sources.manifest import list_files
 
 LOG = logging.getLogger(__name__)
 SOURCE_PATH = "source_path"
-HEADER_READERS = 16
+SEPARATORS = (",", ";", "\t", "|")
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+PROBES = 16
+ONE_FILE = str(1 << 40)
 
 
-def _options(multi_line: bool, skip_unreadable: bool = False) -> dict[str, object]:
+def _options(multi_line: bool, sep: str, quote: str, encoding: str) -> dict[str, object]:
     # Quotes are escaped by doubling. Column pruning is off because with it a
     # count or a one-column select keeps malformed lines that collect() drops.
     # Multi-line values make files unsplittable, so they are opt-in.
@@ -28,9 +37,11 @@ def _options(multi_line: bool, skip_unreadable: bool = False) -> dict[str, objec
         "header": True,
         "mode": "DROPMALFORMED",
         "columnPruning": False,
-        "escape": '"',
+        "sep": sep,
+        "quote": quote,
+        "escape": quote,
+        "encoding": encoding,
         "multiLine": multi_line,
-        "ignoreCorruptFiles": skip_unreadable,
     }
 
 
@@ -43,44 +54,125 @@ def _paths(spark: SparkSession, glob: str) -> list[str]:
         raise
 
 
-def _header(spark: SparkSession, path: str, skip_unreadable: bool) -> tuple[str, ...] | None:
-    """Column names of one file; None when it is empty or, if allowed, unreadable."""
+@contextmanager
+def _one_task_per_file(spark: SparkSession) -> Iterator[None]:
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, ONE_FILE)
     try:
-        row = spark.read.text(path).first()
-    except Exception as error:
-        if not skip_unreadable:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def header_lines(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """First line that is not blank, by file; a file without one is left out.
+
+    One job with a task per file, which stops after its first batch of lines. One line per file
+    reaches the driver, where Spark keeps the list of files as well.
+    """
+    options = {"sep": "\u0001", "quote": "", "encoding": encoding}
+    lines = spark.read.options(**options).schema("line string").csv(paths)
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), "line")
+    with _one_task_per_file(spark):
+        rows = lines.mapInArrow(_first_row, "path string, line string").collect()
+    return {unquote(r.path): r.line.lstrip("\ufeff") for r in rows}
+
+
+def detect_separator(header: str, quote: str = '"') -> str:
+    """The separator found most often outside quotes; a comma when there is none."""
+    bare = re.sub(f"{re.escape(quote)}[^{re.escape(quote)}]*{re.escape(quote)}", "", header)
+    return max(SEPARATORS, key=bare.count)
+
+
+def unreadable_files(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """Error condition by path, for files that cannot be read to their end.
+
+    A compressed file shows its damage only when all of it is read, so each of these is read
+    once, in a job of its own. Plain files are opened together, and one by one if that fails.
+    """
+    suspects = [p for p in paths if p.lower().endswith(COMPRESSED)]
+    plain = [p for p in paths if p not in suspects]
+    try:
+        if plain:
+            header_lines(spark, plain, encoding)
+    except (PySparkException, Py4JJavaError) as error:
+        if not _read_error(error):
             raise
-        LOG.warning("skipping %s: %s", path, error)
-        return None
-    if row is None or not row.value.strip():
+        suspects += plain
+
+    def probe(path: str) -> str | None:
+        try:
+            spark.read.text(path).count()
+        except (PySparkException, Py4JJavaError) as error:
+            reason = _read_error(error)
+            if not reason:
+                raise
+            return reason
         return None
-    return tuple(next(csv.reader([row.value.lstrip("\ufeff")])))
+
+    with ThreadPoolExecutor(PROBES) as pool:
+        found = zip(suspects, pool.map(probe, suspects), strict=True)
+        return {path: reason for path, reason in found if reason}
+
+
+def _read_error(error: PySparkException | Py4JJavaError) -> str | None:
+    """What kept Spark from reading a file; None if it failed for another reason."""
+    if isinstance(error, PySparkException):
+        condition = str(error.getCondition())
+        return condition if condition.startswith("FAILED_READ_FILE") else None
+    cause = error.java_exception
+    while cause is not None:
+        name = cause.getClass().getName()
+        if name.startswith(("java.io.", "java.util.zip.")):
+            return name
+        cause = cause.getCause()
+    return None
 
 
-def _by_header(
-    spark: SparkSession, paths: list[str], skip_unreadable: bool
-) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by header line; reads one line per file and no data."""
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p, skip_unreadable), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers, strict=True):
-        if header is not None:
-            groups.setdefault(header, []).append(path)
-    return groups
+def empty_files(spark: SparkSession, glob: str) -> list[str]:
+    """Files without any byte, which Spark's own listing leaves out."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [s.getPath().toString() for s in found or [] if s.isFile() and not s.getLen()]
+
+
+def qualified_root(spark: SparkSession, root: str) -> str:
+    """The folder as Spark names it, without ``.``, ``..`` and a trailing slash."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    text = path.getFileSystem(conf).makeQualified(path).toString()
+    scheme, bare = re.match(r"^([a-zA-Z][\w+.-]*:(?://[^/]*)?)?(.*)$", text, re.DOTALL).groups()
+    return (scheme or "") + posixpath.normpath(bare)
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """The path under ``root``; a folder of part files counts as one file.
+    """The path under ``root``, a result of ``qualified_root``; part files count as one file.
 
-    Spark reports absolute URIs, which differ between machines, while this path
-    takes part in the ledger key. Decoding and patterns are only evaluated for the
-    paths that need them, as this runs once per row.
+    Spark reports absolute URIs, which differ between machines, while this path takes part
+    in the ledger key. As many names are cut off as the root has, so the root may be a
+    glob. A path that is not under a plain root fails the job. Decoding and patterns are only
+    evaluated for the paths that need them, as this runs once per row.
     """
-    bare = re.sub(r"^[a-zA-Z][\w+.-]*:/*", "/", root).rstrip("/") + "/"
+    bare = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", root).rstrip("/")
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    plain = F.when(path.contains("%"), decoded).otherwise(path)
-    under = F.substr(plain, F.instr(plain, bare) + F.lit(len(bare)))
+    full = F.when(path.contains("%"), decoded).otherwise(path)
+    plain = F.regexp_replace(full, r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "")
+    cut = F.substring_index(plain, "/", bare.count("/") + 1)
+    under = F.substr(plain, F.length(cut) + 2)
+    if not re.search(r"[*?\[{]", bare):
+        outside = F.raise_error(F.concat(F.lit(f"not under {root}: "), path))
+        under = F.when(F.startswith(plain, F.lit(bare + "/")), under).otherwise(outside)
     whole = F.regexp_replace(under, r"^(?:[^/=]+=)?(.+?\.csv)/part-[^/]+$", "$1")
     return F.when(under.contains("/part-"), whole).otherwise(under)
 
@@ -91,24 +183,43 @@ def read_csv_by_name(
     pattern: str = "*.csv",
     multi_line: bool = False,
     with_source: bool = True,
-    skip_unreadable: bool = False,
+    sep: str | None = None,
+    quote: str = '"',
+    encoding: str = "UTF-8",
+    paths: list[str] | None = None,
+    required: list[str] | None = None,
 ) -> DataFrame:
     """All matching files under ``root`` as text columns, matched by header name.
 
     A Spark read over several files maps columns by position, so files are read
-    in one group per distinct header and the groups are unioned by name, with
-    NULL for absent columns. A file that cannot be read fails the job, unless
-    ``skip_unreadable`` asks to go on without it.
+    in one group per separator and header, and the groups are unioned by name, with
+    NULL for absent columns. The first line that is not blank is the header; without ``sep``
+    the separator is detected from it. Files of blank lines only are logged and hold no rows;
+    a file that cannot be read fails the job. ``paths`` reads these files only, such as those of
+    ``changed_files``. ValueError names the files whose header has none of ``required``.
     """
-    groups = _by_header(spark, _paths(spark, f"{root.rstrip('/')}/{pattern}"), skip_unreadable)
-    if not groups:
-        raise FileNotFoundError(f"no readable CSV file matches {root}/{pattern}")
+    root = qualified_root(spark, root)
+    if paths is None:
+        paths = _paths(spark, f"{root}/{pattern}")
+    heads = header_lines(spark, paths, encoding) if paths else {}
+    if not heads:
+        raise FileNotFoundError(f"no CSV file with a header matches {root}/{pattern}")
+    if len(heads) < len(paths):
+        LOG.warning("%d of %d files hold blank lines only", len(paths) - len(heads), len(paths))
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for path, line in sorted(heads.items()):
+        own = sep or detect_separator(line, quote)
+        header = next(csv.reader([line], delimiter=own, quotechar=quote))
+        groups.setdefault((own, tuple(header)), []).append(path)
+    wanted = {c.lower() for c in required or ()}
+    strange = [f for (_, h), fs in groups.items() if not wanted & {c.lower() for c in h} for f in fs]
+    if required and strange:
+        raise ValueError(f"no expected column in the header of {strange}")
     parts = []
-    for header, files in groups.items():
+    for (own, header), files in groups.items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        part = (
-            spark.read.options(**_options(multi_line, skip_unreadable)).schema(schema).csv(files)
-        )
+        options = _options(multi_line, own, quote, encoding)
+        part = spark.read.options(**options).schema(schema).csv(files)
         if with_source:
             source = relative_path(F.col("_metadata.file_path"), root)
             part = part.select("*", source.alias(SOURCE_PATH))
@@ -122,9 +233,14 @@ def read_ledger_csv(
     columns: list[str],
     pattern: str = "ledger_fy*.csv",
     multi_line: bool = False,
+    **options: object,
 ) -> DataFrame:
-    """The declared raw columns plus ``source_path``; undeclared columns are left out."""
-    df = read_csv_by_name(spark, root, pattern, multi_line)
+    """The declared raw columns plus ``source_path``; undeclared columns are left out.
+
+    Every file must have one of the declared columns at least. ``options`` are those of
+    ``read_csv_by_name``.
+    """
+    df = read_csv_by_name(spark, root, pattern, multi_line, required=columns, **options)
     present = {c.lower() for c in df.columns}
     return df.select(
         *[
@@ -136,23 +252,35 @@ def read_ledger_csv(
 
 
 def merge_raw(
-    spark: SparkSession, root: str, out: str, fmt: str = "parquet", multi_line: bool = False
-) -> DataFrame:
-    """Write every CSV under ``root`` as one table; unreadable files are skipped.
+    spark: SparkSession, root: str, out: str, fmt: str = "parquet", multi_line: bool = False,
+    **options: object,
+) -> tuple[DataFrame, DataFrame]:
+    """Write every CSV under ``root`` as one table; returns it and the files left out.
 
-    Raises FileNotFoundError when no file can be read. Columns stay text.
+    A file that cannot be read to its end contributes no row; it is listed as (path, reason), and so
+    are files without a header. Raises FileNotFoundError when no file can be read. Columns stay text.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"unknown output format {fmt}")
-    df = read_csv_by_name(
-        spark, root, "*.csv", multi_line, with_source=False, skip_unreadable=True
-    )
+    encoding = str(options.get("encoding", "UTF-8"))
+    glob = f"{qualified_root(spark, root)}/*.csv*"
+    found = _paths(spark, glob)
+    broken = unreadable_files(spark, found, encoding)
+    good = [p for p in found if p not in broken]
+    blank = len(header_lines(spark, good, encoding)) < len(good) if good else False
+    if blank:
+        broken |= {p: "BLANK" for p in good if not header_lines(spark, [p], encoding)}
+        good = [p for p in good if p not in broken]
+    df = read_csv_by_name(spark, root, multi_line=multi_line, with_source=False, paths=good, **options)
+    broken |= dict.fromkeys(empty_files(spark, glob), "EMPTY")
+    skipped = spark.createDataFrame(sorted(broken.items()), "path string, reason string")
     writer = df.write.mode("overwrite")
     if fmt == "parquet":
         writer.parquet(out)
-        return spark.read.schema(df.schema).parquet(out)
+        return spark.read.schema(df.schema).parquet(out), skipped
     write_csv(df, out)
-    return spark.read.options(**_options(multi_line)).schema(df.schema).csv(out)
+    written = _options(multi_line, ",", '"', "UTF-8")
+    return spark.read.options(**written).schema(df.schema).csv(out), skipped
 
 
 def write_csv(df: DataFrame, out: str, partition_by: list[str] | None = None) -> None:

@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
-CHUNK = 8 * 1024 * 1024
 MANIFEST_KEY = ["path", "length", "sha256"]
-MANIFEST_SCHEMA = "path string, length long, sha256 string, modified timestamp"
 
 
 def list_files(spark: SparkSession, glob: str) -> DataFrame:
@@ -24,40 +17,26 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
-def _stream_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Checksum of files too large to hold in one row, read in chunks."""
-    from pyarrow import fs
+def file_manifest(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, length, sha256, modified) per file, the same way for every size.
 
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            # Hadoop prints a local path as file:/x, which is no valid URI here.
-            uri = path.replace("file:/", "file:///", 1) if not path.startswith("file://") else path
-            filesystem, name = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(name) as stream:
-                while block := stream.read(CHUNK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)[["path", "length", "sha256", "modified"]]
+    Spark reads a file as one value, so one above 2 GB fails with Spark's own error; text files
+    of any size can be compared by ``line_checksums`` instead.
+    """
+    files = spark.read.format("binaryFile").load(glob)
+    modified = F.col("modificationTime").alias("modified")
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"), modified)
 
 
-def file_manifest(spark: SparkSession, glob: str, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """(path, length, sha256, modified) per file.
+def line_checksums(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, lines, line_sum) of text files; Spark splits large ones.
 
-    Files up to ``whole_limit`` bytes are hashed as one value by Spark; larger
-    ones are streamed, so that no task holds a whole file. The length filter
-    reaches the scan, so that each file is read on one of the two ways only.
+    ``line_sum`` adds up the 64-bit hashes of all lines, so it does not depend on their
+    order. It is no sha256 and never stands in for one.
     """
-    files = spark.read.format("binaryFile").load(glob)
-    whole = files.where(F.col("length") <= whole_limit).select(
-        "path",
-        "length",
-        F.sha2("content", 256).alias("sha256"),
-        F.col("modificationTime").alias("modified"),
-    )
-    large = list_files(spark, glob).where(F.col("length") > whole_limit)
-    return whole.unionByName(large.mapInPandas(_stream_sha256, MANIFEST_SCHEMA))
+    lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias("path"), "value")
+    total = F.sum(F.xxhash64("value").cast("decimal(20,0)"))
+    return lines.groupBy("path").agg(F.count("*").alias("lines"), total.alias("line_sum"))
 
 
 def changed_files(current: DataFrame, previous: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from ledgerspark.plans.staging import RAW_COLUMNS
 from ledgerspark.sources import (
@@ -11,6 +14,7 @@ from ledgerspark.sources import (
     file_manifest,
     file_status,
     ingest_summary,
+    line_checksums,
     materialize,
     merge_raw,
     read_csv_by_name,
@@ -80,7 +84,8 @@ def test_merge_raw(spark, tmp_path):
     (raw / "b.csv").write_text("B,C\n3,4\n5,6\n")
     (raw / "empty.csv").write_text("")
     for fmt in ("parquet", "csv"):
-        merged = merge_raw(spark, str(raw), str(tmp_path / fmt), fmt)
+        merged, skipped = merge_raw(spark, str(raw), str(tmp_path / fmt), fmt)
+        assert [r.path.split("/")[-1] for r in skipped.collect()] == ["empty.csv"]
         rows = sorted(map(tuple, merged.collect()), key=str)
         assert merged.columns == ["A", "B", "C"]
         assert rows == sorted([("1", "2", None), (None, "3", "4"), (None, "5", "6")], key=str)
@@ -115,13 +120,82 @@ def test_manifest_and_changes(spark, tmp_path):
     assert counts == {"unchanged": 1, "changed": 1, "new": 1, "failed": 2}
 
 
-def test_large_files_are_hashed_in_chunks(spark, tmp_path):
-    (tmp_path / "big.bin").write_bytes(bytes(range(256)) * 4096)
-    (tmp_path / "small.bin").write_bytes(b"s")
-    both = file_manifest(spark, f"{tmp_path}/*.bin", whole_limit=1000).collect()
-    whole = file_manifest(spark, f"{tmp_path}/*.bin").collect()
-    assert sorted(both) == sorted(whole)
-    assert len(both) == 2
+def test_manifest_of_odd_names(spark, tmp_path):
+    for name in ("c%d.bin", "a b.bin", "é+.bin"):
+        (tmp_path / name).write_bytes(name.encode())
+    rows = {r.path.split("/")[-1]: r for r in file_manifest(spark, f"{tmp_path}/*.bin").collect()}
+    assert {n: r.sha256 for n, r in rows.items()} == {
+        n: hashlib.sha256(n.encode()).hexdigest() for n in ("c%d.bin", "a b.bin", "é+.bin")
+    }
+
+
+def test_line_checksums(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x\ny\n")
+    (tmp_path / "b.txt").write_text("y\nx")
+    (tmp_path / "c.txt").write_text("x\nz\n")
+    a, b, c = sorted(line_checksums(spark, f"{tmp_path}/*.txt").collect())
+    assert a.line_sum == b.line_sum != c.line_sum
+    assert (a.lines, c.lines) == (2, 2)
+
+
+def test_blank_first_line_and_separators(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("A,B\n1,2\n")
+    (tmp_path / "two.csv").write_text(" \n\nA,B\n3,4\n")
+    (tmp_path / "three.csv").write_text('A;"B,x"\n5;6\n')
+    (tmp_path / "four.csv").write_text("B\tA\n8\t7\n")
+    (tmp_path / "blank.csv").write_text("\n\n")
+    rows = read_csv_by_name(spark, str(tmp_path)).collect()
+    assert {(r.A, r.B, r["B,x"]) for r in rows} == {
+        ("1", "2", None), ("3", "4", None), ("5", None, "6"), ("7", "8", None)
+    }
+
+
+def test_encoding_and_quote(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("A,B\né,'x,y'\n".encode("latin-1"))
+    df = read_csv_by_name(spark, str(tmp_path), encoding="ISO-8859-1", quote="'")
+    assert [(r.A, r.B) for r in df.collect()] == [("é", "x,y")]
+
+
+def test_files_without_an_expected_column(spark, tmp_path):
+    (tmp_path / "ledger_fy22_qtr1.csv").write_text("LEDGER\nACTUALS\n")
+    (tmp_path / "ledger_fy22_qtr2.csv").write_text("SOMETHING\nx\n")
+    with pytest.raises(ValueError, match="ledger_fy22_qtr2.csv"):
+        read_ledger_csv(spark, str(tmp_path), RAW_COLUMNS)
+
+
+def test_damaged_file_contributes_no_row(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lines = "".join(f"{k},{k * 7919}\n" for k in range(100_000))
+    whole = gzip.compress(("A,B\n" + lines).encode())
+    (raw / "bad.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (raw / "good.csv").write_text("A,B\n1,2\n")
+    merged, skipped = merge_raw(spark, str(raw), str(tmp_path / "out"))
+    assert [tuple(r) for r in merged.collect()] == [("1", "2")]
+    assert [r.path.split("/")[-1] for r in skipped.collect()] == ["bad.csv.gz"]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_csv_by_name(spark, str(raw), "*.csv*").count()
+
+
+def test_one_path_for_every_way_to_write_the_root(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "ledger_fy24_qtr1.csv").write_text("A\n1\n")
+    monkeypatch.chdir(tmp_path)
+    roots = [raw, f"{raw}/", f"{tmp_path}/x/../raw", f"{tmp_path}/./raw", f"file:{raw}", f"file://{raw}/",
+             f"{tmp_path}/ra*"]
+    for root in roots:
+        rows = read_csv_by_name(spark, str(root)).collect()
+        assert [r.source_path for r in rows] == ["ledger_fy24_qtr1.csv"], root
+
+
+def test_changed_files_are_read_alone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A\n1\n")
+    before = materialize(file_manifest(spark, f"{tmp_path}/*.csv"), f"{tmp_path}/m")
+    (tmp_path / "b.csv").write_text("A\n2\n")
+    new = changed_files(file_manifest(spark, f"{tmp_path}/*.csv"), before)
+    df = read_csv_by_name(spark, str(tmp_path), paths=[r.path for r in new.collect()])
+    assert [(r.A, r.source_path) for r in df.collect()] == [("2", "b.csv")]
 
 
 def test_targets(spark, tmp_path):
