@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.aggregates import MONEY_SUM, money_sum
-from ledgerspark.session import fresh_path
-from ledgerspark.sources.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -51,23 +49,10 @@ def decorate(df: DataFrame, lookups: list[Lookup], columns: list[str]) -> DataFr
     return star_join(df, lookups, columns, "left")
 
 
-def repeated_keys(lookups: list[Lookup]) -> tuple[DataFrame, set[int]]:
-    """(lookup, key, n) for keys with several rows, and which lookups have any.
-
-    Written to the shared folder when called, so that the joins on it know its size:
-    a small one is broadcast, a large one is a plain scan whose join can be split.
-    """
-    parts = [
-        lk.table.dropna(subset=[lk.dim_key])
-        .groupBy(F.col(lk.dim_key).cast("string").alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select(F.lit(i).alias("lookup"), "key", "n")
-        for i, lk in enumerate(lookups)
-    ]
-    keys = reduce(DataFrame.unionByName, parts)
-    keys = materialize(keys, fresh_path(keys.sparkSession, "repeated_keys"), "lookup")
-    return keys, {r.lookup for r in keys.select("lookup").distinct().collect()}
+def repeated_keys(lookup: Lookup) -> DataFrame:
+    """(key, n) for keys that have several rows in a lookup."""
+    keyed = lookup.table.dropna(subset=[lookup.dim_key]).groupBy(F.col(lookup.dim_key).alias("key"))
+    return keyed.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def weighted_sum(
@@ -76,21 +61,18 @@ def weighted_sum(
     """Sum per group as if every lookup had been left-joined, without repeating rows.
 
     A key with n lookup rows would repeat its rows n times, so the amount is
-    multiplied by n instead. Only lookups in which some key has several rows are
-    joined, one row per such key; usually there is none and nothing is joined.
+    multiplied by n instead. Amounts are summed by ``by`` and the lookup keys first, so the
+    joins see one row per group, and nothing runs while the plan is made.
     """
-    if not lookups:
-        return df.groupBy(*by).agg(money_sum(amount).alias(name))
-    keys, repeated = repeated_keys(lookups)
+    keys = dict.fromkeys([*by, *(lk.fact_key for lk in lookups)])
+    sums = df.groupBy(*keys).agg(money_sum(amount).alias("__sum"))
     weight = F.lit(1).cast("long")
-    for i in sorted(repeated):
-        one = keys.where(F.col("lookup") == i).select("key", F.col("n").alias(f"__n{i}"))
-        df = _attach(df, Lookup(one, lookups[i].fact_key, "key", [f"__n{i}"]), "left")
+    for i, lookup in enumerate(lookups):
+        many = repeated_keys(lookup).withColumnRenamed("n", f"__n{i}")
+        sums = _attach(sums, Lookup(many, lookup.fact_key, "key", [f"__n{i}"]), "left")
         weight = weight * F.coalesce(F.col(f"__n{i}"), F.lit(1).cast("long"))
-    value = F.col(amount)
-    if repeated:
-        value = (value * weight.cast("decimal(19,0)")).cast(MONEY_SUM)
-    return df.groupBy(*by).agg(money_sum(value).alias(name))
+    value = (F.col("__sum") * weight.cast("decimal(19,0)")).cast(MONEY_SUM)
+    return sums.groupBy(*by).agg(money_sum(value).alias(name))
 
 
 def one_name_per_key(dim: DataFrame, key: str, name: str) -> DataFrame:
@@ -103,9 +85,14 @@ def one_name_per_key(dim: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
-def dedupe_on_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key; which of several is kept is left to Spark."""
-    return df.dropDuplicates([key])
+def dedupe_on_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """One whole row per key: the least by ``order``, then by the other columns in turn.
+
+    So a retried task keeps the same row. Rows are reduced within tasks before the shuffle.
+    """
+    rest = [c for c in df.columns if c != key and c not in (order or ())]
+    least = F.min(F.struct(*(order or ()), *rest)).alias("__row")
+    return df.groupBy(key).agg(least).select(key, "__row.*").select(*df.columns)
 
 
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ def _passes(e: Expectation) -> Column:
     if e.kind == NOT_NULL:
         return c.isNotNull()
     if e.kind == IN_SET:
-        return c.isin([v for v in e.values if v is not None])
+        return F.when(c.isNotNull(), c.isin([v for v in e.values if v is not None]))
     if e.kind == VALUES_BETWEEN:
         return F.when(c.isNotNull(), within(c, e.min_value, e.max_value, e.strict))
     if e.kind == EQUAL_TO:
@@ -132,6 +133,20 @@ def _uniqueness(df: DataFrame, e: Expectation) -> DataFrame:
     return counts.select(_result(e, ok, unexpected=bad).alias("r")).select("r.*")
 
 
+def _present(df: DataFrame, e: Expectation) -> bool:
+    """Whether the table has the columns that a check names."""
+    if e.kind != EXPRESSION and e.column not in df.columns:
+        return False
+    if e.kind in (EXPRESSION, EQUAL_TO):
+        try:
+            df.select(F.expr(e.expression)).schema  # noqa: B018  Spark resolves the names
+        except AnalysisException as error:
+            if str(error.getCondition()).startswith("UNRESOLVED_COLUMN"):
+                return False
+            raise
+    return True
+
+
 def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     """One result row per expectation (``RESULT_SCHEMA``).
 
@@ -143,7 +158,7 @@ def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
     aggs, results = [F.count(F.lit(1)).alias("n")], []
     for i, e in enumerate(suite):
         if e not in unique:
-            more, result = _compile(e, i, e.kind == EXPRESSION or e.column in columns)
+            more, result = _compile(e, i, _present(df, e))
             aggs += more
             results.append(result)
     parts = [_uniqueness(df, e) for e in unique]

@@ -44,12 +44,13 @@ def allowed_pairs(
 ) -> DataFrame:
     """Rows whose key has a rule and whose value is not among those the rule lists.
 
-    Keys without a rule and NULL values pass. Rules may be a mapping or a table
-    with columns (key, value); joins instead of an OR chain keep the plan small
-    for any number of rules.
+    Keys without a rule and NULL values pass; a rule that lists nothing allows nothing.
+    Rules may be a mapping or a table with columns (key, value), where a NULL value
+    allows nothing; joins instead of an OR chain keep the plan small for any number
+    of rules.
     """
     if isinstance(rules, dict):
-        pairs = [(k, v) for k, values in rules.items() for v in values]
+        pairs = [(k, v) for k, values in rules.items() for v in values or [None]]
         rules = small_table(df.sparkSession, pairs, "key string, value string")
     keys = rules.select(F.col("key").alias("__k"))
     pairs_df = rules.select(F.col("key").alias("__k"), F.col("value").alias("__v"))

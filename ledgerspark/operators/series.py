@@ -44,13 +44,9 @@ def missing_periods(
     """Expected periods that a key combination has no row for.
 
     Same rows as the scaffold minus the distinct data, with one shuffle and no
-    join: the periods seen are collected as bits of one long per key.
+    join: the expected periods seen are collected per key, as many as the calendar has.
     """
-    if min(periods) < 0 or max(periods) > 62:
-        raise ValueError("periods must lie in 0..62 to fit the bits of a long")
-    bit = F.expr(f"shiftleft(1L, cast(`{period}` as int))")
-    seen_bit = F.when(F.col(period).isin(*periods), bit)
-    seen = df.groupBy(*keys).agg(F.coalesce(F.bit_or(seen_bit), F.lit(0).cast("long")).alias("seen"))
     expected = F.array(*[F.lit(n).cast("long") for n in periods])
-    absent = F.filter(expected, lambda n: F.getbit("seen", n.cast("int")) == 0)
-    return seen.select(*keys, F.explode(absent).alias(period))
+    known = F.when(F.col(period).isin(*periods), F.col(period).cast("long"))
+    seen = df.groupBy(*keys).agg(F.collect_set(known).alias("seen"))
+    return seen.select(*keys, F.explode(F.array_except(expected, "seen")).alias(period))

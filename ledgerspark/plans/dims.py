@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,20 @@ def build_dimension(silver: DataFrame, spec: Dimension) -> DataFrame:
     return members.select(surrogate_key(spec.key).alias(spec.sk), *named)
 
 
+def codes_with_several_names(dims: dict[str, DataFrame]) -> DataFrame:
+    """(dimension, code, names) for business keys that have more than one name."""
+    parts = [
+        dims[table]
+        .groupBy(F.col(spec.key_name).alias("code"))
+        .agg(F.count(F.lit(1)).alias("names"))
+        .where("names > 1")
+        .select(F.lit(table).alias("dimension"), "code", "names")
+        for table, spec in DIMENSIONS.items()
+        if spec.name and table in dims
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dim_agencies(silver: DataFrame) -> DataFrame:
     return build_dimension(silver, DIMENSIONS["dim_agencies"])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,8 +36,8 @@ def local_session(cores: str | int = "*", app: str = "ledgerspark", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session that names none gets a temporary folder; on a
-    cluster a machine-local folder would be lost with its executor, so there the
+    Only a local-mode session that names none gets a temporary folder, which is deleted when
+    the program ends; on a cluster a machine-local folder would be lost with its executor, so there the
     setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -46,6 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     app_id = spark.sparkContext.applicationId
     if app_id not in _LOCAL_DIRS:
         _LOCAL_DIRS[app_id] = tempfile.mkdtemp(prefix="ledgerspark-")
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[app_id], ignore_errors=True)
     return _LOCAL_DIRS[app_id]
 
 

@@ -210,7 +210,18 @@ def test_top_groups_and_trend(spark):
 
 def test_dedupe(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    assert sorted(r.k for r in op.dedupe_on_key(df, "k").collect()) == ["a", "b"]
+    assert rows(op.dedupe_on_key(df, "k", ["v"])) == [("a", 1), ("b", 3)]
+    assert rows(op.dedupe_on_key(df.withColumn("w", -F.col("v")), "k", ["w"]).drop("w")) == [("a", 2), ("b", 3)]
+
+
+def test_periods_outside_the_months(spark):
+    df = spark.createDataFrame([("a", 100), ("a", 7), ("b", -1)], "k string, p int")
+    assert rows(op.missing_periods(df, ["k"], "p", (-1, 100))) == [("a", -1), ("b", 100)]
+
+
+def test_empty_rule_allows_nothing(spark):
+    df = spark.createDataFrame([("f", "1"), ("f", None), ("g", "1")], "k string, v string")
+    assert rows(op.allowed_pairs(df, "k", "v", {"f": []})) == [("f", "1")]
 
 
 def test_profile(spark):

@@ -9,6 +9,7 @@ import pytest
 
 from ledgerspark.operators import SuiteFailed
 from ledgerspark.plans import RAW_COLUMNS, filtered_rollup, run_pipeline, stage_ledger
+from ledgerspark.plans.pipeline import WARN_ONLY, TestsFailed, model_tests, run_tests
 from ledgerspark.sources import read_ledger_csv, register_views, targets_frame
 
 LINE = {
@@ -88,7 +89,11 @@ def test_pipeline(spark, raw_root, tmp_path):
     assert decorated.groupBy().sum("amount").collect()[0][0] == D("104.00")
 
     out = tmp_path / "out"
-    assert len(list((out / "gold").iterdir())) == 15
+    assert len(list((out / "gold").iterdir())) == 14  # the joined transactions stay a plan
+    saved = {r.test: r.violations for r in spark.read.json(f"{out}/validation/models").collect()}
+    assert saved["period_completeness"] == 33
+    names = spark.read.json(f"{out}/validation/names").collect()
+    assert [(r.dimension, r.code, r.names) for r in names] == [("dim_departments", "D1", 2)]
     assert spark.read.parquet(f"{out}/silver/stg_ledger").count() == 4
     assert spark.read.parquet(f"{out}/gold/mart_completeness_scaffold").count() == 36
     assert any((out / "validation" / "gold").glob("*.json"))
@@ -132,3 +137,31 @@ def test_bad_amount_fails_the_job(spark, raw_root):
         stage_ledger(raw).collect()
     cleaned = stage_ledger(raw, clean_currency=True).collect()
     assert D("1234.50") in {r.amount for r in cleaned}
+
+
+def test_one_row_per_line(spark, raw_root, tmp_path):
+    write_lines(raw_root / "ledger_fy24_qtr2.csv", [{"ROWID": "r9"}, {"ROWID": "r9"}])
+    out = str(tmp_path / "out")
+    with pytest.raises(SuiteFailed, match="unique"):
+        run_pipeline(spark, str(raw_root), out)
+    gold, _ = run_pipeline(spark, str(raw_root), out, dedupe=True, one_name=True)
+    assert gold.fact.count() == 5
+    assert gold.marts["kpi_monthly_summary"].agg({"transaction_count": "sum"}).first()[0] == 5
+
+
+def test_broken_rule_stops_the_run(spark, raw_root, tmp_path):
+    write_lines(raw_root / "ledger_fy24_qtr2.csv", [{"ROWID": "r8", "FUND_CODE": "019000"}])
+    with pytest.raises(TestsFailed, match="allowed_account_for_fund: 1"):
+        run_pipeline(spark, str(raw_root), str(tmp_path / "out"))
+    run_pipeline(
+        spark, str(raw_root), str(tmp_path / "out"), silver_suite=[], gold_suite=[],
+        warn_only=(*WARN_ONLY, "allowed_account_for_fund"),
+    )
+
+
+def test_broken_foreign_key_is_found(spark, raw_root, tmp_path):
+    gold, _ = run_pipeline(spark, str(raw_root), str(tmp_path / "out"))
+    silver = spark.read.parquet(f"{tmp_path}/out/silver/stg_ledger")
+    gold.dims["dim_funds"] = gold.dims["dim_funds"].where("fund_business_key != '200'")
+    with pytest.raises(TestsFailed, match="relationships_fund_sk: 1"):
+        run_tests(model_tests(silver, gold), f"{tmp_path}/tests")
