@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from ledgerspark import functions as fn
 from ledgerspark import operators as op
 from ledgerspark import plans
-from ledgerspark.checks.sample_ledger import Layers, layers, supplier_ledger, text
+from ledgerspark.checks.sample_ledger import Layers, layers, line_amount, supplier_ledger, text
 from ledgerspark.operators.aggregates import money_sum
-from ledgerspark.operators.quality import EQUAL_TO, IN_SET, VALUES_BETWEEN, Expectation
+from ledgerspark.operators.quality import (
+    EQUAL_TO,
+    IN_SET,
+    VALUES_BETWEEN,
+    Expectation,
+    write_results,
+)
+from ledgerspark.plans.pipeline import WARN_ONLY, Gold, mart_plans, run_tests
+from ledgerspark.plans.pipeline import model_tests as pipeline_tests
 from ledgerspark.plans.staging import RAW_COLUMNS, file_fiscal_quarter, quality_filter
 from ledgerspark.plans.suites import (
     AGENCY_MART_SUITE,
@@ -28,9 +36,17 @@ from ledgerspark.plans.suites import (
     SILVER_SUITE,
 )
 from ledgerspark.session import fresh_path
-from ledgerspark.sources.csv_files import read_csv_by_name, read_ledger_csv, write_csv
+from ledgerspark.sources import manifest
+from ledgerspark.sources.csv_files import merge_raw as merge_raw_files
+from ledgerspark.sources.csv_files import (
+    qualified_root,
+    read_csv_by_name,
+    read_ledger_csv,
+    relative_path,
+    write_csv,
+)
 from ledgerspark.sources.seeds import targets_frame
-from ledgerspark.sources.tables import materialize
+from ledgerspark.sources.tables import export_all, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,9 +95,64 @@ def csv_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    return lines.groupBy(F.col("_metadata.file_name").alias("source_file")).agg(
-        F.count(F.lit(1)).alias("lines")
-    )
+    path = relative_path(F.col("_metadata.file_path"), qualified_root(spark, f"{sf_dir}/../{sf_dir.rstrip('/').rsplit('/', 1)[-1]}"))
+    return lines.groupBy(path.alias("source_file")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def dirty_order_files(spark: SparkSession, sf_dir: str) -> str:
+    """All orders in four files: commas, semicolons, blank lines first, short and long lines."""
+    orders = table(spark, sf_dir, "orders").select(text("o_orderkey").alias("key"), "o_orderstatus", "o_orderpriority")
+    root = fresh_path(spark, "dirty")
+    names = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    styles = [(",", ""), (";", ""), (",", " \n\n"), (",", "")]
+    for k, (sep, before) in enumerate(styles):
+        own = orders.where(F.col("key").cast("long") % 4 == k)
+        line = F.concat_ws(sep, "key", "o_orderstatus", "o_orderpriority")
+        if k == 3:  # two malformed lines for each good one
+            line = F.concat(line, F.lit("\nx"), F.lit("\na,b,c,d"))
+        head = spark.createDataFrame([(before + sep.join(names), 0)], "value string, part int")
+        lines = head.unionByName(own.select(line.alias("value"), F.lit(1).alias("part")))
+        lines.coalesce(1).sortWithinPartitions("part").select("value").write.text(f"{root}/orders_{k}.csv")
+    return root
+
+
+@query
+def csv_dirty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_csv_by_name(spark, dirty_order_files(spark, sf_dir))
+
+
+@query
+def merge_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged, _ = merge_raw_files(spark, dirty_order_files(spark, sf_dir), fresh_path(spark, "merged"))
+    return merged
+
+
+def document_manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Manifests made of all documents: texts that changed and ids that are gone."""
+    docs = table(spark, sf_dir, "documents")
+    base = docs.select(
+        text("doc_id").alias("path"), F.length("text").cast("long").alias("length"),
+        F.sha2("text", 256).alias("sha256"), (F.col("doc_id") % 7).alias("kind"),
+    )
+    old = F.when(F.col("kind") == 3, F.sha2("path", 256)).otherwise(F.col("sha256"))
+    before = base.withColumn("sha256", old).drop("kind")
+    return base.where("kind <> 5").drop("kind"), before
+
+
+@query
+def changed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.changed_files(*document_manifests(spark, sf_dir))
+
+
+@query
+def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.ingest_summary(manifest.file_status(*document_manifests(spark, sf_dir)))
+
+
+@on_layers
+def export_reread(x: Layers) -> DataFrame:
+    paths = export_all({"agencies": x.dims["dim_agencies"]}, fresh_path(x.spark, "export"))
+    return x.spark.read.parquet(paths["agencies"])
 
 
 @on_layers
@@ -294,21 +365,37 @@ def dim_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedupe_on_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("row_id")
-    return op.dedupe_on_key(table(spark, sf_dir, "lineitem").select(key), "row_id")
+    """The line of each order that ships first, whole."""
+    lines = table(spark, sf_dir, "lineitem")
+    return op.dedupe_on_key(lines, "l_orderkey", ["l_shipdate", "l_linenumber"])
+
+
+@query
+def fct_one_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums, dim = shared_code_departments(spark, sf_dir)
+    one = op.one_name_per_key(dim, "department_business_key", "department_name")
+    keys = op.Lookup(one, "dept_id", "department_business_key", ["department_sk", "department_name"])
+    columns = ["department_sk", "department_name", "fiscal_year", "amount"]
+    return op.star_join(sums, [keys], columns)
 
 
 @on_layers
 def relationships_violations(x: Layers) -> DataFrame:
-    parent = x.dims["dim_funds"].where(F.col("fund_business_key") != "BUI")
-    return op.orphan_keys(x.fact, "fund_sk", parent, "fund_sk")
+    """All lines of one fund point to a key that no fund has."""
+    other = F.md5(F.concat(F.lit("other "), "fund_sk"))
+    child = F.when(F.col("fund_sk") == F.md5(F.lit("BUI")), other).otherwise(F.col("fund_sk"))
+    return op.orphan_keys(x.fact.withColumn("fund_sk", child), "fund_sk", x.dims["dim_funds"], "fund_sk")
 
 
 @on_layers
 def relationships_violation_rows(x: Layers) -> DataFrame:
-    parent = x.dims["dim_agencies"].where(F.col("agency_business_key") > "004")
+    """The lines of five agencies point to keys that no agency has."""
     columns = ["agency_sk", "department_sk", "fiscal_year", "accounting_period", "amount"]
-    return op.orphan_rows(x.fact.select(*columns), "agency_sk", parent, "agency_sk")
+    moved = F.col("agency_sk").isin(*[F.md5(F.lit(f"00{k}")) for k in range(5)])
+    other = F.concat(F.lit("other "), "agency_sk")
+    child = F.when(moved, other).otherwise(F.col("agency_sk"))
+    rows = x.fact.select(*columns).withColumn("agency_sk", child)
+    return op.orphan_rows(rows, "agency_sk", x.dims["dim_agencies"], "agency_sk")
 
 
 # Marts
@@ -347,7 +434,8 @@ def budget_variance(x: Layers) -> DataFrame:
 def uneven_funds(x: Layers) -> DataFrame:
     """The fact with funds that only have a budget and lines that have no fund."""
     aut, bui = F.md5(F.lit("AUT")), F.md5(F.lit("BUI"))
-    rows = x.fact.where(~((F.col("fund_sk") == aut) & (F.col("ledger") == "ACTUALS")))
+    planned = (F.col("fund_sk") == aut) & (F.col("ledger") == "ACTUALS")
+    rows = x.fact.withColumn("ledger", F.when(planned, "BUDGET").otherwise(F.col("ledger")))
     return rows.withColumn("fund_sk", F.nullif("fund_sk", bui))
 
 
@@ -508,19 +596,37 @@ def allowed_pairs(x: Layers) -> DataFrame:
 
 @on_layers
 def reconcile_targets(x: Layers) -> DataFrame:
-    """Targets taken from the data, with expenses after 1997 off by two cents."""
-    amount = F.col("amount")
-    metric = F.when(amount >= 0, "total_revenue").otherwise("total_expenses")
-    per_metric = x.fact.groupBy(metric.alias("metric_name"), "fiscal_year").agg(
-        money_sum(amount).alias("total")
-    )
+    """Targets taken from the order lines; expenses after 1997 are off by two cents."""
+    lines = table(x.spark, x.sf_dir, "lineitem")
+    lines = lines.select(F.year("l_shipdate").alias("fiscal_year"), line_amount().alias("amount"))
+    metric = F.when(F.col("amount") >= 0, "total_revenue").otherwise("total_expenses")
+    totals = lines.groupBy(metric.alias("metric_name"), "fiscal_year").agg(money_sum("amount").alias("total"))
     off = (F.col("metric_name") == "total_expenses") & (F.col("fiscal_year") > 1997)
     shift = F.when(off, F.expr("0.02BD")).otherwise(F.expr("0.01BD"))
     target = (F.col("total") + shift).cast("decimal(18,2)").alias("expected_value_usd")
-    targets = per_metric.select("metric_name", "fiscal_year", target)
+    targets = totals.select("metric_name", "fiscal_year", target)
     return op.reconcile(x.fact, targets.unionByName(targets_frame(x.spark)))
 
 
+@on_layers
+def model_tests(x: Layers) -> DataFrame:
+    """All model tests, counted and saved; the sample's years are outside the accepted ones."""
+    gold = Gold(x.dims, x.fact, mart_plans(x.fact, x.dims))
+    tests = pipeline_tests(x.silver, gold)
+    return run_tests(tests, fresh_path(x.spark, "tests"), (*WARN_ONLY, "columns_stg_ledger"))
+
+
+@on_layers
+def suite_json(x: Layers) -> DataFrame:
+    return write_results(op.run_suite(x.kpi, GOLD_SUITE), fresh_path(x.spark, "results"))
+
+
+@on_layers
+def rollup_by_ordinal(x: Layers) -> DataFrame:
+    text_ = "select fiscal_year, ledger, cast(sum(amount) as decimal(38,2)) as total from {fact} group by 1, 2"
+    return x.spark.sql(text_, fact=x.fact)
+
+
 def contract_source(x: Layers) -> DataFrame:
     return x.silver.select(
         F.col("amount"),
@@ -544,13 +650,23 @@ def schema_contract_violations(x: Layers) -> DataFrame:
     return op.contract_violations(contract_source(x), LEDGER_CONTRACT)
 
 
+def rounded(profile: DataFrame) -> DataFrame:
+    return profile.withColumns({"mean": F.round("mean", 3), "stddev": F.round("stddev", 3)})
+
+
 @on_layers
 def table_profile(x: Layers) -> DataFrame:
-    columns = ["agency_nbr", "ledger", "fiscal_year", "program_code", "amount", "row_id"]
-    profile = op.table_profile(x.silver.select(*columns), exact=True)
-    return profile.withColumns(
-        {"mean": F.round("mean", 3), "stddev": F.round("stddev", 3)}
-    )
+    return rounded(op.table_profile(x.silver, exact=True))
+
+
+@on_layers
+def table_profile_approx(x: Layers) -> DataFrame:
+    """The shuffle-free profile, and whether its distinct counts are within three deviations."""
+    rsd = 0.05
+    exact = op.table_profile(x.silver, exact=True).select("column_name", F.col("distinct_count").alias("exact"))
+    both = rounded(op.table_profile(x.silver, rsd=rsd)).join(exact, "column_name")
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= 3 * rsd * F.col("exact")
+    return both.withColumn("close", close).withColumn("distinct_count", F.col("exact")).drop("exact")
 
 
 @on_layers
