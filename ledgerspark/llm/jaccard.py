@@ -20,6 +20,8 @@ HASHES = 224
 SEED = 7
 #: Sets compared at a time within a group; larger groups are dealt out in blocks of this size.
 BLOCK = 2048
+#: Members of a bucket that are compared by pairs; with more, within tasks.
+FEW = 8
 
 
 def bands_for(similarity: float, recall: float, hashes: int = HASHES) -> tuple[int, int]:
@@ -173,13 +175,12 @@ def components(edges: DataFrame) -> DataFrame:
             return groups
 
 
-def count_links(table: pa.Table, similarity: float) -> pa.Table:
-    """Links of every set in one group, or between two blocks of a large group.
+def linked_matrix(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which sets are similar to which, none to itself.
 
     Shingles that many sets hold are multiplied as columns of a 0/1 matrix, a few thousand
     at a time; pairs that share a rare shingle are counted one by one.
     """
-    sets = shingle_sets(table["text"].combine_chunks())
     m, sizes = len(sets), np.array([len(s) for s in sets])
     values = np.concatenate(sets)
     owner = np.repeat(np.arange(m), sizes)
@@ -190,15 +191,13 @@ def count_links(table: pa.Table, similarity: float) -> pa.Table:
     number = np.repeat(np.arange(len(starts)), held)
     common = np.zeros((m, m), np.float32)
     many = held > 64
-    column = np.cumsum(many) - 1
-    place, real = column[number], many[number]
+    place, real = (np.cumsum(many) - 1)[number], many[number]
     for low in range(0, int(many.sum()), 2048):
         own = real & (place >= low) & (place < low + 2048)
         matrix = np.zeros((m, 2048), np.float32)
         matrix[owner[own], place[own] - low] = 1
         common += matrix @ matrix.T
-    rare = ~real
-    values, owner = number[rare], owner[rare]
+    values, owner = number[~real], owner[~real]
     for step in range(1, 64):
         same = values[step:] == values[:-step]
         if not same.any():
@@ -208,14 +207,61 @@ def count_links(table: pa.Table, similarity: float) -> pa.Table:
         np.add.at(common, (y, x), 1)
     linked = similar(common.astype(np.float64), sizes[:, None] + sizes[None, :], similarity)
     np.fill_diagonal(linked, False)
-    block = np.array(table["block"].to_pylist())
-    if len(set(block.tolist())) > 1:
+    return linked
+
+
+def _between_blocks(table: pa.Table, linked: np.ndarray) -> np.ndarray:
+    """Only pairs of different blocks, if the task was given two."""
+    if table["i"][0].as_py() != table["j"][0].as_py():
+        block = table["block"].to_numpy()
         linked &= block[:, None] != block[None, :]
-    elif table["i"][0].as_py() != table["j"][0].as_py():
-        linked[:] = False  # the other block is empty
+    return linked
+
+
+def _sets_of(table: pa.Table) -> list[np.ndarray]:
+    return shingle_sets(table["text"].combine_chunks())
+
+
+def count_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Links of every set in one group, or between two blocks of a large group."""
+    linked = _between_blocks(table, linked_matrix(_sets_of(table), similarity))
     return pa.table({"c": table["c"], "n_links": pa.array(linked.sum(1), pa.int64())})
 
 
+def join_groups(table: pa.Table, similarity: float) -> pa.Table:
+    """Pairs of groups (a, b) that a link connects, as few as connect them all."""
+    linked = _between_blocks(table, linked_matrix(_sets_of(table), similarity))
+    group = table["group"].to_numpy()
+    x, y = np.nonzero(linked)
+    pairs = np.unique(np.stack([group[x], group[y]], 1)[group[x] < group[y]], axis=0)
+    parent: dict[int, int] = {}
+
+    def root(g: int) -> int:
+        while parent.setdefault(g, g) != g:
+            g = parent[g] = parent[parent[g]]
+        return g
+
+    found = []
+    for a, b in pairs.tolist():
+        if root(a) != root(b):
+            parent[root(b)] = root(a)
+            found.append((a, b))
+    columns = list(zip(*found, strict=True)) or [(), ()]
+    return pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+
+def in_blocks(rows: DataFrame, key: str, counted: DataFrame) -> DataFrame:
+    """Deal members of each ``key`` to tasks (key, i, j), i <= j, that hold blocks i and j.
+
+    ``counted`` has the number of blocks of each key. Every pair meets in one task, at least.
+    """
+    own = F.pmod(F.xxhash64("c"), F.col("blocks")).alias("block")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    placed = rows.join(counted, key).select(*rows.columns, own, others)
+    pair = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    return placed.select(*rows.columns, "block", *pair)
+
+
 def links_in_groups(
     groups: DataFrame, texts: DataFrame, sizes: DataFrame, similarity: float, block: int
 ) -> DataFrame:
@@ -224,16 +270,10 @@ def links_in_groups(
     A group above ``block`` sets (or of long texts that come to as many shingles) is split into blocks, and
     each pair of blocks is one task.
     """
-    counted = groups.join(sizes, groups["node"] == sizes["c"]).groupBy("group").agg(
-        F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / (block * 1024))).alias("blocks")
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    placed = groups.join(counted, "group").select("group", F.col("node").alias("c"), own.alias("block"), "blocks")
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = placed.select("group", "c", "block", others.alias("other")).select(
-        "group", "c", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    full = dealt.join(texts, "c")
+    rows = groups.select("group", F.col("node").alias("c"))
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / (block * 1024)))
+    counted = rows.join(sizes, "c").groupBy("group").agg(blocks.alias("blocks"))
+    full = in_blocks(rows, "group", counted).join(texts, "c")
 
     def count(table: pa.Table) -> pa.Table:
         return count_links(table, similarity)
@@ -242,6 +282,33 @@ def links_in_groups(
     return parts.groupBy("c").agg(F.sum("n_links").alias("n_links"))
 
 
+def links_between_groups(
+    apart: DataFrame, pairs: DataFrame, texts: DataFrame, sizes: DataFrame, similarity: float, block: int
+) -> DataFrame:
+    """Links (a, b) that connect groups within the buckets of ``apart`` (bucket, c, group).
+
+    Small buckets give their pairs of different groups, without those in ``pairs``, which have been
+    verified. A member of a larger bucket would have too many; there all members are
+    compared within tasks, which return only what connects their groups.
+    """
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / (block * 1024)))
+    counted = apart.join(sizes, "c").groupBy("bucket").agg(F.count("*").alias("k"), blocks.alias("blocks"))
+    counted = stored(counted, "counted")
+    few = apart.join(counted.where(F.col("k") <= FEW).select("bucket"), "bucket")
+    left = few.select("bucket", F.col("c").alias("a"), F.col("group").alias("ga"))
+    right = few.select("bucket", F.col("c").alias("b"), F.col("group").alias("gb"))
+    rest = left.join(right, "bucket").where("a < b and ga != gb").select("a", "b").distinct()
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
+    many = counted.where(F.col("k") > FEW).select("bucket", "blocks")
+    full = in_blocks(apart, "bucket", many).join(texts, "c")
+
+    def connect(table: pa.Table) -> pa.Table:
+        return join_groups(table, similarity)
+
+    large = full.groupBy("bucket", "i", "j").applyInArrow(connect, "a long, b long")
+    return verified(rest, texts, similarity, block).unionByName(large)
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
     tie: str | None = None, recall: float = RECALL, block: int = BLOCK,
@@ -256,9 +323,10 @@ def near_duplicates(
 
     Rows with equal sets are one class. Classes meet in MinHash bands, as many as ``recall``
     needs for pairs at ``similarity``. In every bucket each class is verified against the
-    first on full sets; classes that are then connected need no further pair, and only pairs
-    of a bucket that are still apart are verified on their own. So a bucket of similar
-    texts gives one pair per class. Links are then counted within the groups.
+    first on full sets; classes that are then connected need no further pair. Where a bucket
+    still holds several groups, its members of different groups are compared, by pairs in a small
+    bucket and within tasks in a large one. So a bucket of any size gives few pairs per
+    class. Links are then counted within the groups, again in tasks that return counts.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -286,13 +354,11 @@ def near_duplicates(
     at = at.select("bucket", "c", F.coalesce("group", "c").alias("group"))
     apart = at.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
     at = stored(at.join(apart.select("bucket"), "bucket"), "apart")
-    left, right = (at.select("bucket", F.col("c").alias(c), F.col("group").alias(g)) for c, g in (("a", "ga"), ("b", "gb")))
-    rest = left.join(right, "bucket").where("a < b and ga != gb").select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    more = stored(verified(rest, texts, similarity, block), "links")
+    sizes = classes.select("c", "size")
+    more = stored(links_between_groups(at, pairs, texts, sizes, similarity, block), "links")
     if not more.isEmpty():
         groups = components(sure.unionByName(more))
-    counts = links_in_groups(groups, texts, classes.select("c", "size"), similarity, block)
+    counts = links_in_groups(groups, texts, sizes, similarity, block)
 
     own = classes.select("cls", "c", "n_copies").join(groups, classes["c"] == groups["node"], "left")
     own = own.select("cls", "c", "n_copies", F.coalesce("group", "c").alias("group")).join(counts, "c", "left")

@@ -243,8 +243,10 @@ def test_jaccard(docs, empty, block):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
-def test_jaccard_chain(spark):
+@pytest.mark.parametrize("few", [jaccard.FEW, 1])
+def test_jaccard_chain(spark, monkeypatch, few):
     """Links within one bucket that do not touch its first member, and a long chain."""
+    monkeypatch.setattr(jaccard, "FEW", few)
     words = [f"w{k}" for k in range(140)]
     texts = [" ".join(words[k : k + 100]) for k in range(0, 40, 4)]
     rows = [(k, t) for k, t in enumerate(texts)]
