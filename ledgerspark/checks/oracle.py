@@ -134,13 +134,14 @@ def dim(sk: str, key: str, key_name: str, description: str, name: str) -> str:
 
 # Named subqueries; each lists what it reads.
 TABLES: dict[str, tuple[list[str], str]] = {
-    "raw": (
+    "tidy_raw": (
         [],
         f"""
     select
       case when o_orderpriority <> '1-URGENT'
            then concat(' ', lpad(cast(n_nationkey as varchar), 3, '0'), '  ') end as AGENCYNBR,
-      case when o_orderpriority <> '1-URGENT' then concat(n_name, ' ') end as AGENCYNAME,
+      case when o_orderpriority <> '1-URGENT' then concat(n_name, case when n_nationkey = 3 and l_linenumber = 1 then ' (old)'
+                           else ' ' end) end as AGENCYNAME,
       case l_returnflag when 'A' then 'ACTUALS ' when 'N' then 'BUDGET '
            else 'ENCUMBRANCE ' end as LEDGER,
       concat(cast(year(l_shipdate) as varchar), '.0') as FISCAL_YEAR,
@@ -178,7 +179,8 @@ TABLES: dict[str, tuple[list[str], str]] = {
       concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar), '-',
              cast(l_partkey as varchar), '-', cast(l_suppkey as varchar)) as ROWID,
       concat('ledger_fy', substr(cast(year(l_shipdate) as varchar), 3, 2), '_qtr',
-             cast(quarter(l_shipdate) as varchar), '.csv') as source_path
+             cast(quarter(l_shipdate) as varchar), '.csv') as source_path,
+      l_orderkey % 101 as odd
     from lineitem
     join orders on l_orderkey = o_orderkey
     join customer on o_custkey = c_custkey
@@ -186,6 +188,23 @@ TABLES: dict[str, tuple[list[str], str]] = {
     join supplier on l_suppkey = s_suppkey
     join part on l_partkey = p_partkey""",
     ),
+    "raw": (
+        ["tidy_raw"],
+        """
+    select * exclude (odd) replace (
+      case when odd <> 1 then AGENCYNBR end as AGENCYNBR,
+      case when odd <> 1 then OPERATING_UNIT end as OPERATING_UNIT,
+      if(odd = 2, '  ', LEDGER) as LEDGER,
+      if(odd = 3, 'n/a', FISCAL_YEAR) as FISCAL_YEAR,
+      case odd when 4 then '' when 9 then '0' when 10 then '13' else ACCOUNTING_PERIOD end
+        as ACCOUNTING_PERIOD,
+      if(odd = 5, '', FUND_CODE) as FUND_CODE,
+      case when odd <> 6 then DEPTID end as DEPTID,
+      case when odd <> 7 then ACCOUNT end as ACCOUNT,
+      if(odd = 8, ' ', ROWID) as ROWID,
+      case when odd <> 11 then FUNDDESCR end as FUNDDESCR)
+    from tidy_raw""",
+    ),
     "silver": (["raw"], silver()),
     "agencies": (
         ["silver"],
@@ -433,12 +452,22 @@ def profile(table: str, columns: list[str], numeric: set[str]) -> str:
     return " union all ".join(rows)
 
 
+LABELS = """(values (0, 'Q1', 'Opening Balance'), (1, 'Q1', 'January'), (2, 'Q1', 'February'),
+      (3, 'Q1', 'March'), (4, 'Q2', 'April'), (5, 'Q2', 'May'), (6, 'Q2', 'June'),
+      (7, 'Q3', 'July'), (8, 'Q3', 'August'), (9, 'Q3', 'September'), (10, 'Q4', 'October'),
+      (11, 'Q4', 'November'), (12, 'Q4', 'December')) as labels(number, quarter, label)"""
 NUMERIC = {"fiscal_year", "accounting_period", "amount"}
 PROFILED = ["ledger_sk", *SILVER_NAMES.values(), "source_path"]
 RAW_ROW_ID = "concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar))"
 
 ORACLE_SQL: dict[str, str] = {
-    "csv_roundtrip": sql("select * from raw", "raw"),
+    # A quoted empty text is read as NULL.
+    "csv_roundtrip": sql(
+        """
+    select * replace (nullif(FUND_CODE, '') as FUND_CODE,
+      nullif(ACCOUNTING_PERIOD, '') as ACCOUNTING_PERIOD) from raw""",
+        "raw",
+    ),
     "csv_union_by_name": """
     select event_id, event_type, cast(user_id as varchar) as user_id,
            cast(null as varchar) as "value", 'clicks.csv' as source_path
@@ -505,16 +534,12 @@ ORACLE_SQL: dict[str, str] = {
     from silver""",
         "silver",
     ),
-    "period_labels": """
+    "period_labels": f"""
     select period, coalesce(quarter, 'Unknown') as fiscal_quarter,
       coalesce(label, 'Unknown') as fiscal_month_name, lines
     from (select cast(l_quantity as integer) - 2 as period, count(*) as lines
           from lineitem group by 1)
-    left join (values (0, 'Q1', 'Opening Balance'), (1, 'Q1', 'January'), (2, 'Q1', 'February'),
-      (3, 'Q1', 'March'), (4, 'Q2', 'April'), (5, 'Q2', 'May'), (6, 'Q2', 'June'),
-      (7, 'Q3', 'July'), (8, 'Q3', 'August'), (9, 'Q3', 'September'), (10, 'Q4', 'October'),
-      (11, 'Q4', 'November'), (12, 'Q4', 'December')) as labels(number, quarter, label)
-      on number = period""",
+    left join {LABELS} on number = period""",
     "dim_agencies": sql("select * from agencies", "agencies"),
     "dim_funds": sql("select * from funds", "funds"),
     "dim_departments": sql("select * from departments", "departments"),
@@ -526,12 +551,12 @@ ORACLE_SQL: dict[str, str] = {
         "silver",
     ),
     "dim_time": sql(
-        """
-    select distinct md5(concat(fiscal_year, '-', accounting_period)) as time_sk,
+        f"""
+    select md5(concat(fiscal_year, '-', accounting_period)) as time_sk,
       fiscal_year as time_business_key, accounting_period,
-      concat('Q', cast(ceil(accounting_period / 3.0) as integer)) as fiscal_quarter,
-      monthname(make_date(2000, accounting_period, 1)) as fiscal_month_name
-    from silver""",
+      coalesce(quarter, 'Unknown') as fiscal_quarter, coalesce(label, 'Unknown') as fiscal_month_name
+    from (select distinct fiscal_year, accounting_period from silver)
+    left join {LABELS} on number = accounting_period""",
         "silver",
     ),
     "fct_transactions": sql("select * from fact", "fact"),
@@ -736,7 +761,9 @@ ORACLE_SQL: dict[str, str] = {
     select 'total_expenses' as metric_name, year(l_shipdate)::int as fiscal_year,
       cast(sum({LINE_AMOUNT}) as decimal(38,2)) as calculated_value,
       cast(sum({LINE_AMOUNT}) + 0.02 as decimal(18,2)) as expected_value_usd
-    from lineitem where {LINE_AMOUNT} < 0 and year(l_shipdate) > 1997 group by 2""",
+    from lineitem
+    where {LINE_AMOUNT} < 0 and year(l_shipdate) > 1997 and l_orderkey % 101 not between 1 and 8
+    group by 2""",
     "csv_dirty_files": """
     select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, o_orderpriority,
       'orders_' || o_orderkey % 4 || '.csv' as source_path from orders""",

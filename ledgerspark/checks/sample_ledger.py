@@ -3,7 +3,8 @@
 Every order line becomes one ledger line: nations are agencies, market segments are
 funds, suppliers are departments and brands are accounts. The text is as untidy as
 real extracts: padded codes, years written as ``1998.0``, agencies that are only
-named in the operating unit.
+named in the operating unit, an agency with two names, lines that lack a required column,
+periods 0 and 13, and funds without a name.
 """
 
 from __future__ import annotations
@@ -17,9 +18,26 @@ from ledgerspark.plans.marts import kpi_monthly_summary
 from ledgerspark.plans.pipeline import build_dims, build_fact, build_silver
 from ledgerspark.plans.staging import RAW_COLUMNS
 from ledgerspark.session import fresh_path
-from ledgerspark.sources.csv_files import write_csv
+from ledgerspark.sources.csv_files import read_ledger_csv, write_csv
 from ledgerspark.sources.tables import materialize
 
+#: By remainder of the order number modulo ODD: column and the odd text that takes its place.
+ODD = 101
+ODD_VALUES = {
+    1: ("AGENCYNBR", None),
+    2: ("LEDGER", "  "),
+    3: ("FISCAL_YEAR", "n/a"),
+    4: ("ACCOUNTING_PERIOD", ""),
+    5: ("FUND_CODE", ""),
+    6: ("DEPTID", None),
+    7: ("ACCOUNT", None),
+    8: ("ROWID", " "),
+    9: ("ACCOUNTING_PERIOD", "0"),
+    10: ("ACCOUNTING_PERIOD", "13"),
+    11: ("FUNDDESCR", None),
+}
+
+RAW_FILES = "file=ledger_fy*.csv"
 LEDGER_OF_FLAG = {"A": "ACTUALS", "N": "BUDGET"}
 
 
@@ -65,12 +83,13 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lines.withColumn("source_path", file_name).hint("rebalance", "source_path")
     agency = F.lpad(text("n_nationkey"), 3, "0")
     urgent = F.col("o_orderpriority") == "1-URGENT"
+    old = (F.col("n_nationkey") == 3) & (F.col("l_linenumber") == 1)
     ledger = F.lit("ENCUMBRANCE")
     for flag, name in LEDGER_OF_FLAG.items():
         ledger = F.when(F.col("l_returnflag") == flag, name).otherwise(ledger)
     values = {
         "AGENCYNBR": F.when(~urgent, F.concat(F.lit(" "), agency, F.lit("  "))),
-        "AGENCYNAME": F.when(~urgent, F.concat("n_name", F.lit(" "))),
+        "AGENCYNAME": F.when(~urgent, F.concat("n_name", F.when(old, " (old)").otherwise(" "))),
         "LEDGER": F.concat(ledger, F.lit(" ")),
         "FISCAL_YEAR": F.concat(year.cast("string"), F.lit(".0")),
         "ACCOUNTING_PERIOD": F.concat(F.lit(" "), month.cast("string")),
@@ -98,6 +117,10 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             "-", *[text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
         ),
     }
+    for rest, (column, odd) in ODD_VALUES.items():
+        here = F.col("l_orderkey") % ODD == rest
+        for c in ("AGENCYNBR", "OPERATING_UNIT") if column == "AGENCYNBR" else (column,):
+            values[c] = F.when(here, F.lit(odd)).otherwise(values[c])
     return lines.select(
         *[values.get(c, F.lit(None)).cast("string").alias(c) for c in RAW_COLUMNS],
         "source_path",
@@ -140,7 +163,8 @@ class Layers:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return build_silver(self.raw, f"{self.root}/silver/stg_ledger")
+        raw = read_ledger_csv(self.spark, self.csv_root, RAW_COLUMNS, RAW_FILES)
+        return build_silver(raw, f"{self.root}/silver/stg_ledger")
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
