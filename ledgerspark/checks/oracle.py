@@ -94,7 +94,7 @@ RULES = {
     "trimmed": "trim({})",
     "code": "nullif(trim({}), '')",
     "untrimmed code": "nullif({}, '')",
-    "number": "try_cast(try_cast({} as double) as integer)",
+    "number": "try_cast(try_cast(trim({}) as double) as integer)",
     "money": "cast({} as decimal(18,2))",
 }
 RULE_OF = {
