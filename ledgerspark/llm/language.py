@@ -17,8 +17,8 @@ UNKNOWN = "und"
 #: Length of all vectors.
 SIZE = 1024
 SEED = 20
-#: Entries that a worker keeps; a full cache starts anew.
-CACHE = 300_000
+#: Words and trigrams that a task keeps; a full cache starts anew.
+CACHE = 200_000
 #: Documents multiplied at a time.
 BLOCK = 256
 #: Prototypes are sums of unit vectors in these steps; whole numbers add up alike in any order.
@@ -90,12 +90,6 @@ class Profiler:
             yield counts[:, : len(used)] @ self.vectors[used].astype(np.float32)
 
 
-@lru_cache(maxsize=1)
-def profiler() -> Profiler:
-    """One per Python worker, so that later tasks find what earlier ones have met."""
-    return Profiler()
-
-
 def unit(vectors: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(vectors, axis=-1, keepdims=True)
     return vectors / np.where(norms > 0, norms, 1)
@@ -121,10 +115,11 @@ def learn_prototypes(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        profiler = Profiler()
         for batch in batches:
             labels = np.array(batch["lang"].to_pylist(), object)
             done = 0
-            for block in profiler().profiles(batch["text"]):
+            for block in profiler.profiles(batch["text"]):
                 steps = np.rint(unit(block) * STEP).astype(np.int64)
                 own = labels[done : done + len(block)]
                 done += len(block)
@@ -160,9 +155,10 @@ def predict_languages(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, vectors = shared.value
+        profiler = Profiler()
         for batch in batches:
             labels, scores = [], []
-            for block in profiler().profiles(batch["text"]):
+            for block in profiler.profiles(batch["text"]):
                 near = unit(block) @ vectors.T if known else np.zeros((len(block), 1))
                 best = near.argmax(1)
                 real = block.any(1) & bool(known)

@@ -56,7 +56,7 @@ def distinct_texts(docs: DataFrame, text: str, key: Column) -> DataFrame:
     return stored(one.select(F.monotonically_increasing_id().alias("part"), "*"), "texts")
 
 
-def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about ``max_bytes``, or one row if that is longer."""
     for batch in batches:
         if not batch.num_rows:
@@ -90,7 +90,8 @@ def map_slices(
     """``mapInArrow`` over size-limited slices of the batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return f(slices(batches))
+        yield from f(slices(batches))
+        pa.default_memory_pool().release_unused()
 
     ship_code(df.sparkSession)
     return df.mapInArrow(run, schema)
