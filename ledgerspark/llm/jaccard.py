@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.shared import map_slices, ship_code, stored, text_or_empty
@@ -168,7 +168,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = least.select("node", F.col("group").alias("old"), F.least("group", "near").alias("group"))
         least = stored(least, "groups")
         up = least.select(F.col("node").alias("group"), F.col("group").alias("top"))
-        new = least.join(up, "group").select("node", F.col("top").alias("group"), (F.col("top") != F.col("old")).alias("moved"))
+        moved = (F.col("top") != F.col("old")).alias("moved")
+        new = least.join(up, "group").select("node", F.col("top").alias("group"), moved)
         new = stored(new, "groups")
         groups = new.drop("moved")
         if not new.where("moved").count():
@@ -338,8 +339,9 @@ def near_duplicates(
     rows = stored(rows, "texts")
     signed = stored(signatures(rows, bands, rows_each), "signatures")
     classes = signed.groupBy("cls").agg(
-        F.min("row").alias("c"), F.count("*").alias("n_copies"), F.first("size").alias("size"), F.first("bands").alias("bands")
-    )
+        F.min("row").alias("c"), F.count("*").alias("n_copies"),
+        F.first("size").alias("size"), F.first("bands").alias("bands"),
+    )
     classes = stored(classes, "classes")
     member = classes.select("c", F.explode("bands").alias("bucket"))
     buckets = member.groupBy("bucket").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
@@ -352,7 +354,8 @@ def near_duplicates(
 
     at = met.join(groups, met["c"] == groups["node"], "left")
     at = at.select("bucket", "c", F.coalesce("group", "c").alias("group"))
-    apart = at.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+    ends = at.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    apart = ends.where("low < high")
     at = stored(at.join(apart.select("bucket"), "bucket"), "apart")
     sizes = classes.select("c", "size")
     more = stored(links_between_groups(at, pairs, texts, sizes, similarity, block), "links")
@@ -367,8 +370,9 @@ def near_duplicates(
     best = F.min(F.struct(F.col("tie").isNull().alias("none"), "tie", "row", "key")).alias("best")
     best = placed.groupBy("group").agg(best)
     linked = placed.join(best, "group").select(
-        "key", F.col("best.key").alias("class_id"), "n_links", "n_copies", (F.col("row") == F.col("best.row")).alias("kept")
-    )
+        "key", F.col("best.key").alias("class_id"), "n_links", "n_copies",
+        (F.col("row") == F.col("best.row")).alias("kept"),
+    )
     alone = rows.select("row", "key").join(signed.select("row"), "row", "left_anti").select(
         "key", F.col("key").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
         F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("kept"),

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import byte_bpe, chat, exact_dedup, host_quality, jaccard, language, licences, packing, suffix_dedup, url_filter
+from ledgerspark.llm import (
+    byte_bpe,
+    chat,
+    exact_dedup,
+    host_quality,
+    jaccard,
+    language,
+    licences,
+    packing,
+    suffix_dedup,
+    url_filter,
+)
 from ledgerspark.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.shared import map_slices, slices, stored, text_or_empty
@@ -218,26 +218,29 @@ def repeated_spans(
     same = (F.col("n") > 1) & (F.col("low") == F.col("high"))
     twice = anchors.where("n > 1 or often").select("anchor", same.alias("same"))
     shared = stored(found.drop("often").join(twice, "anchor"), "segments")
-    whole = shared.where("same").select(
-        "part", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("windows")).alias("b"))).alias("spans")
-    )
+    span = F.struct(F.col("start").alias("a"), (F.col("start") + F.col("windows")).alias("b"))
+    whole = shared.where("same").select("part", F.array(span).alias("spans"))
     mixed = shared.where("not same").drop("same")
     distinct = mixed.groupBy(*SHARED).agg(
         F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("part", "start", "windows"))
     )
-    wanted = distinct.groupBy("part").agg(F.collect_list(F.struct(*SHARED, "n", "start", "windows")).alias("cuts"))
+    one = F.struct(*SHARED, "n", "start", "windows")
+    wanted = distinct.groupBy("part").agg(F.collect_list(one).alias("cuts"))
     cut = rows.select("part", F.encode("text", "UTF-8").alias("data")).join(wanted, "part")
-    cut = cut.select("data", F.explode("cuts").alias("c")).select(
-        "c.anchor", "c.seg", "c.n", F.substring("data", F.col("c.start") + 1, F.col("c.windows") + length - 1).alias("bytes")
-    )
+    own = F.substring("data", F.col("c.start") + 1, F.col("c.windows") + length - 1)
+    cut = cut.select("data", F.explode("cuts").alias("c"))
+    cut = cut.select("c.anchor", "c.seg", "c.n", own.alias("bytes"))
     cut = stored(cut, "shards")
     large = cut.groupBy("anchor").agg(F.count("*").alias("k"), F.sum(F.length("bytes")).alias("size"))
     large = large.where((F.col("k") > heavy) | (F.col("size") > 16 * shard_bytes)).select("anchor")
     marks = mark_shards(cut.join(large, "anchor", "left_anti"), length, shard_bytes)
     marks = marks.unionByName(mark_windows(cut.join(large, "anchor", "left_semi"), length))
-    moved = mixed.join(marks, SHARED).select(
-        "part", F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b"))).alias("spans")
-    )
+
+    def in_text(x: Column) -> Column:
+        return F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b"))
+
+    moved = mixed.join(marks, SHARED)
+    moved = moved.select("part", F.transform("spans", in_text).alias("spans"))
     every = whole.unionByName(moved).groupBy("part")
     return every.agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
