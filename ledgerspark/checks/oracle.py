@@ -140,7 +140,8 @@ TABLES: dict[str, tuple[list[str], str]] = {
     select
       case when o_orderpriority <> '1-URGENT'
            then concat(' ', lpad(cast(n_nationkey as varchar), 3, '0'), '  ') end as AGENCYNBR,
-      case when o_orderpriority <> '1-URGENT' then concat(n_name, case when n_nationkey = 3 and l_linenumber = 1 then ' (old)'
+      case when o_orderpriority <> '1-URGENT'
+           then concat(n_name, case when n_nationkey = 3 and l_linenumber = 1 then ' (old)'
                            else ' ' end) end as AGENCYNAME,
       case l_returnflag when 'A' then 'ACTUALS ' when 'N' then 'BUDGET '
            else 'ENCUMBRANCE ' end as LEDGER,

@@ -102,7 +102,8 @@ def csv_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    path = relative_path(F.col("_metadata.file_path"), qualified_root(spark, f"{sf_dir}/../{sf_dir.rstrip('/').rsplit('/', 1)[-1]}"))
+    root = f"{sf_dir}/../{sf_dir.rstrip('/').rsplit('/', 1)[-1]}"
+    path = relative_path(F.col("_metadata.file_path"), qualified_root(spark, root))
     return lines.groupBy(path.alias("source_file")).agg(F.count(F.lit(1)).alias("lines"))
 
 
