@@ -21,7 +21,7 @@ NONE = np.int64(1) << 62
 #: Words up to this many bytes are merged many at a time, longer ones one by one.
 WIDE = 64
 #: Entries of each kind that a worker keeps; a full cache starts anew.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

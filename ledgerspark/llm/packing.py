@@ -20,7 +20,7 @@ from ledgerspark.llm.shared import gather, map_slices, stored, text_or_empty
 CAPACITY = 4096
 END_ID = 1
 #: Entries that a worker keeps; a full cache starts anew.
-CACHE = 400_000
+CACHE = 250_000
 
 
 class WordTokenizer:
