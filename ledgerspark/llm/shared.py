@@ -45,17 +45,6 @@ def without_spaces(c: Column) -> Column:
     return F.regexp_replace(c, r"[\x20\x09-\x0D]+", "")
 
 
-def distinct_texts(docs: DataFrame, text: str, key: Column) -> DataFrame:
-    """One stored row per distinct ``key``: part long (unique), key, copies, text.
-
-    Copies are counted within each task before anything is shuffled, so a text that
-    makes up a third of the table sends one row per task.
-    """
-    rows = docs.select(key.alias("key"), text_or_empty(text).alias("text"))
-    one = rows.groupBy("key").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
-    return stored(one.select(F.monotonically_increasing_id().alias("part"), "*"), "texts")
-
-
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds about ``max_bytes``, or one row if that is longer."""
     for batch in batches:
