@@ -17,9 +17,6 @@ import ledgerspark
 from ledgerspark.session import fresh_path
 from ledgerspark.sources.tables import read_table
 
-#: What separates words: space, tab, line feed, vertical tab, form feed, return.
-SPACES = " \t\n\x0b\x0c\r"
-
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back, which cuts the lineage.
@@ -41,7 +38,7 @@ def text_or_empty(name: str) -> Column:
 
 
 def without_spaces(c: Column) -> Column:
-    """Delete every character of SPACES."""
+    """Delete every space, tab, line feed, vertical tab, form feed and return."""
     return F.regexp_replace(c, r"[\x20\x09-\x0D]+", "")
 
 
