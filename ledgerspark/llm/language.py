@@ -15,7 +15,7 @@ from ledgerspark.llm.shared import gather, map_slices, text_or_empty
 
 UNKNOWN = "und"
 #: Length of all vectors.
-SIZE = 1024
+SIZE = 512
 SEED = 20
 #: Words and trigrams that a task keeps; a full cache starts anew.
 CACHE = 200_000
@@ -45,7 +45,7 @@ class Profiler:
         self.cache = cache
         self.words: dict[str, bytes] = {}
         self.numbers: dict[str, int] = {}
-        self.vectors = np.zeros((1024, SIZE), np.int8)
+        self.vectors = np.zeros((4096, SIZE), np.int8)
 
     def _number(self, trigram: str) -> int:
         number = self.numbers.get(trigram)
