@@ -273,6 +273,23 @@ def test_licences(spark, empty):
     assert licences.licence_scan(empty).count() == 0
 
 
+def licence_families(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r.families for r in licences.licence_scan(rows).collect()}
+
+
+def test_licences_in_long_lines(spark):
+    """A notice anywhere in a line, several in one line, and near relatives of a family."""
+    words = [w for family, notice in licences.TEMPLATES for w in [notice.split()]]
+    assert max(map(len, words)) + 4 < licences.OVERLAP
+    mit, nc, agpl = "Released under the MIT License.", "Licensed under CC BY-NC 4.0.", licences.TEMPLATES[7][1]
+    far = [f"{prose(k, 1500)} {mit} {prose(-k, n)}" for k, n in enumerate((0, 1, 40, 90, 700))]
+    texts = [*far, f"{prose(7, 900)} {mit} {prose(8, 5)} {nc} {prose(9, 400)}", agpl, licences.TEMPLATES[6][1],
+             licences.TEMPLATES[15][1], prose(10, 3000)]
+    got = licence_families(spark, texts)
+    assert got == dict(enumerate([["MIT"]] * 5 + [["CC-BY-NC", "MIT"], ["AGPL"], ["LGPL"], ["CC-BY-NC"], []]))
+
+
 def test_language(docs, empty):
     got = language.identify(docs).collect()
     assert len(got) == len(TEXTS)
