@@ -290,6 +290,17 @@ def test_licences_in_long_lines(spark):
     assert got == dict(enumerate([["MIT"]] * 5 + [["CC-BY-NC", "MIT"], ["AGPL"], ["LGPL"], ["CC-BY-NC"], []]))
 
 
+def test_wrapped_licences(spark):
+    """Notices over several lines, as they are usually written, also behind comment signs."""
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation, either version 3"
+    texts = [mit, bsd, gpl, "MIT License\n\nCopyright (c) A B\n\n" + mit, gpl.replace("    ", " * "), bsd.replace("\n", "\r\n"),
+             f"{prose(1, 400)}\n{prose(2, 9)}\n{bsd}\n{prose(3, 500)}\n\n{gpl}", f"{prose(4, 30)}\n{prose(5, 30)}"]
+    got = licence_families(spark, texts)
+    assert got == dict(enumerate([["MIT"], ["BSD"], ["GPL"], ["MIT"], ["GPL"], ["BSD"], ["BSD", "GPL"], []]))
+
+
 def test_language(docs, empty):
     got = language.identify(docs).collect()
     assert len(got) == len(TEXTS)
