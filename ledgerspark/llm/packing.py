@@ -29,14 +29,14 @@ class WordTokenizer:
     Words recur, so texts are split at ASCII white space, and each distinct word not met
     before is given to the tokenizer once. A capital at its start and a stop at its end are
     taken off first, which is what the tokenizer's own lower-casing and splitting come to;
-    what is then a run of ASCII letters goes to the tokenizer's model directly.
+    what is then a run of ASCII letters goes to the tokenizer's model directly. The file's own
+    added tokens, such as ``<|endoftext|>``, are found within words as the tokenizer does.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.cache, self.words = cache, {}
 

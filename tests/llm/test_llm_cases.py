@@ -171,6 +171,19 @@ def test_encoders_on_odd_texts(texts):
     assert [x.tolist() for x in words.encode(column)] == expected
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|endo", "ftext|>", "a", "The", "É", "'s", "7", ".", " ", "\n", "\x1c", "|>"]), max_size=12), max_size=3))
+def test_added_tokens_in_texts(parts):
+    import pyarrow as pa
+
+    texts = ["a <|endoftext|> b", "The<|endoftext|>. <|startoftext|>The,", *map("".join, parts)]
+    plain = Tokenizer.from_file(WORDS)  # with the library's own settings
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [320, 49407, 321]
+    got = packing.word_tokenizer(WORDS).encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in got] == expected
+
+
 def test_chat(spark):
     events = [
         ("c", 2, "message", "m1", "user", "hi "), ("c", 3, "delta", "m1", None, "there"),
