@@ -323,6 +323,27 @@ def test_language(docs, empty):
     assert language.identify(empty).count() == 0
 
 
+def test_foreign_texts(spark):
+    """Unlearned scripts and gibberish go, also below 200 characters; learned texts stay."""
+    rng = random.Random(5)
+
+    def text(letters, n):
+        out = ""
+        while len(out) < n:
+            out += "".join(rng.choices(letters, k=rng.randint(2, 9))) + " "
+        return out[:n]
+
+    hangul, latin = [chr(0xAC00 + 37 * k) for k in range(60)], "abcdefghijklmnopqrstuvwxyz"
+    foreign = [text(x, n) for x in (hangul, latin) for n in (120, 199, 300, 600) for _ in range(50)]
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rows = [(-4 * k - 1, t, None, "planted", len(t)) for k, t in enumerate(foreign)]
+    both = real.unionByName(spark.createDataFrame(rows, real.schema))
+    kept = corpus_pipeline.known_language(spark, both, "")
+    stays = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert len([i for i in stays if i < 0]) <= 0.02 * len(foreign)
+    assert len([i for i in stays if i >= 0]) >= 0.99 * real.count()
+
+
 @pytest.mark.parametrize("per_filter", [exact_dedup.PER_FILTER, 2])
 def test_exact_dedup(docs, empty, per_filter):
     half = F.col("doc_id") % 2 == 0
