@@ -12,11 +12,14 @@ from ledgerspark.llm import (
     byte_bpe,
     chat,
     exact_dedup,
+    filter_audit,
     host_quality,
+    importance,
     jaccard,
     language,
     licences,
     packing,
+    permutation_index,
     suffix_dedup,
     url_filter,
 )
@@ -216,3 +219,129 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, through the index."""
+    return permutation_index.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per language."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE_SQL["op12_filter_audit"] = r"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as body,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), marks as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+), fails as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    len(words) < 200 as a,
+    100 * len(list_distinct(words)) < 50 * len(words) as b,
+    100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body) as c,
+    regexp_matches(body, '[#$%&*|]') as d,
+    coalesce(docs.doc_id > min(docs.doc_id) over (partition by body), false) as e
+  from docs left join marks using (doc_id)
+), counts as (
+  select part, a, b, c, d, e, count(*) as n, count(*) filter (good) as good,
+    count(*) filter (toxic) as toxic
+  from fails group by all
+), letters(x) as (
+  values ('A'), ('B'), ('C'), ('D'), ('E')
+), orders as (
+  select v.x || w.x || x.x || y.x || z.x as o
+  from letters v, letters w, letters x, letters y, letters z
+  where len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5
+), failing as (
+  select part, n, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'],
+    lambda x: case x when 'A' then a when 'B' then b when 'C' then c when 'D' then d else e end) as f
+  from counts
+), places as (
+  select part, n, good, toxic, o, f,
+    coalesce(list_min(list_transform(f, lambda x: strpos(o, x))), 6) as removed_at
+  from failing, orders
+), steps as (
+  select part, o as filter_order, k::int as step,
+    sum(n) filter (removed_at > k) as kept,
+    sum(n) filter (removed_at = k) as removed,
+    sum(n) filter (removed_at < k and list_contains(f, o[k])) as redundant,
+    sum(n) filter (f = [o[k]]) as unique_fails,
+    sum(good) filter (removed_at = k) as good_lost,
+    sum(toxic) filter (removed_at = k) as toxic_lost
+  from places, range(1, 6) as t(k) group by all
+)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept,
+  coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+  coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  (sum(coalesce(removed, 0)) over (partition by part, filter_order[step]))::bigint as shapley
+from steps
+"""
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, resampled towards the word distribution of the benchmark."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target)
+
+
+ORACLE_SQL["op13_importance"] = r"""
+with recursive steps(v, crc, k) as (
+  select range, range, 0 from range(256)
+  union all
+  select v, case when crc & 1 = 1 then xor(crc >> 1, 3988292384) else crc >> 1 end, k + 1
+  from steps where k < 8
+), crcs as (
+  select list(crc order by v) as t from steps where k = 8
+), words as (
+  select true as doc, doc_id as id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w
+  from documents
+  union all
+  select false, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+  from benchmark
+), counted as (
+  select doc, id, w, count(*) as n from words group by all
+), hashed as (
+  select w, xor(list_reduce(
+    list_transform(range(1, octet_length(encode(w)) + 1),
+      lambda i: ('0x' || substr(hex(encode(w)), 2 * i - 1, 2))::bigint),
+    lambda crc, b: xor(t[(xor(crc, b) & 255) + 1], crc >> 8), 4294967295), 4294967295) % 10000 as b
+  from (select distinct w from counted), crcs
+), buckets as (
+  select b, coalesce(sum(n) filter (doc), 0) as s, coalesce(sum(n) filter (not doc), 0) as t
+  from counted join hashed using (w) group by b
+), totals as (
+  select coalesce(sum(s), 0) as ss, coalesce(sum(t), 0) as tt from buckets
+), gains as (
+  select b, floor(1000 * ln((t + 1)::double * (ss + 10000)::double
+    / ((s + 1)::double * (tt + 10000)::double)))::bigint as gain
+  from buckets, totals
+), weights as (
+  select id as doc_id, sum(n)::bigint as n_features,
+    floor(sum(n * gain)::double / sum(n)::double)::bigint as weight
+  from counted join hashed using (w) join gains using (b) where doc group by id
+), scores as (
+  select doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from documents left join weights using (doc_id)
+), ranked as (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+    count(*) filter (n_features >= 20) over () as eligible
+  from scores
+)
+select doc_id, n_features, weight, score,
+  case when n_features >= 20 and place <= 10 * eligible // 100 then place end as rank
+from ranked
+"""

@@ -138,3 +138,20 @@ def test_pipeline(spark, docs):
     got = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got} == expected
     packed_well(got)
+
+
+def test_op11(spark):
+    vectors = duckdb.sql(f"select vec_id, embedding from '{SF_DIR}/embeddings.parquet'").fetchall()
+    ids = np.array([i for i, _ in vectors])
+    data = np.array([v for _, v in vectors], "f4").astype("f8")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in rows_of(spark, "op11_permutation_index")}
+    expected = {}
+    for q in np.flatnonzero(ids % 20 == 0):
+        scores = (data * data[q]).sum(axis=1)
+        scores[q] = -np.inf
+        for rank, at in enumerate(np.lexsort((ids, -scores))[:20], 1):
+            expected[int(ids[q]), rank] = (int(ids[at]), float(scores[at]))
+    assert got.keys() == expected.keys()
+    found = {(q, i) for (q, _), (i, _) in got.items()}
+    true = {(q, i) for (q, _), (i, _) in expected.items()}
+    assert len(found & true) >= 0.95 * len(true)
