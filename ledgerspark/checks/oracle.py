@@ -766,10 +766,38 @@ ORACLE_SQL: dict[str, str] = {
     where {LINE_AMOUNT} < 0 and year(l_shipdate) > 1997 and l_orderkey % 101 not between 1 and 8
     group by 2""",
     "csv_dirty_files": """
-    select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, o_orderpriority,
-      'orders_' || o_orderkey % 4 || '.csv' as source_path from orders""",
+    select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus,
+      case when o_orderkey % 5 = 4
+           then concat(o_orderpriority, chr(10), '"', o_orderstatus, '", x', chr(10))
+           else o_orderpriority end as o_orderpriority,
+      'orders_' || o_orderkey % 5 || '.csv' as source_path from orders""",
+    "csv_rejects": """
+    select 'orders_3.csv' as source_path, line, reason
+    from orders, (values ('x', '1 of 3 fields'), ('a,b,c,d', '4 of 3 fields')) as bad(line, reason)
+    where o_orderkey % 5 = 3""",
+    "csv_load_summary": """
+    select 'orders_' || o_orderkey % 5 || '.csv' as source_path, count(*) as "rows",
+      case when o_orderkey % 5 = 3 then 2 * count(*) else 0 end as rejected
+    from orders group by o_orderkey % 5""",
+    "csv_dialects": """
+    select
+      case when o_orderkey % 6 <> 2 then cast(o_orderkey as varchar) end as "key",
+      case o_orderkey % 6 when 1 then o_orderstatus || ';' when 3 then concat(o_orderstatus, chr(10), ',')
+        when 5 then concat(o_orderstatus, '" ', o_orderstatus) when 0 then o_orderstatus end as status,
+      case when o_orderkey % 6 in (0, 1, 3, 5) then o_orderpriority end as priority,
+      case when o_orderkey % 6 = 2 then cast(o_orderkey as varchar) end as column0,
+      case when o_orderkey % 6 = 2 then o_orderstatus end as column1,
+      case when o_orderkey % 6 in (2, 4) then o_orderpriority end as column2,
+      cast(null as varchar) as column3,
+      case when o_orderkey % 6 = 4 then o_orderstatus end as key_1,
+      'style_' || o_orderkey % 6 || '.csv' as source_path
+    from orders""",
     "merge_raw": """
-    select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, o_orderpriority from orders""",
+    select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus,
+      case when o_orderkey % 5 = 4
+           then concat(o_orderpriority, chr(10), '"', o_orderstatus, '", x', chr(10))
+           else o_orderpriority end as o_orderpriority
+    from orders""",
     "changed_files": """
     select cast(doc_id as varchar) as path, length(text) as length, sha256(text) as sha256
     from documents where doc_id % 7 = 3""",

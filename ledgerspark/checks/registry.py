@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark import functions as fn
@@ -47,8 +47,11 @@ from ledgerspark.session import fresh_path
 from ledgerspark.sources import manifest
 from ledgerspark.sources.csv_files import merge_raw as merge_raw_files
 from ledgerspark.sources.csv_files import (
+    load_summary,
+    look_at_csv,
     qualified_root,
     read_csv_by_name,
+    read_csv_rejects,
     read_ledger_csv,
     relative_path,
     write_csv,
@@ -107,20 +110,39 @@ def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy(path.alias("source_file")).agg(F.count(F.lit(1)).alias("lines"))
 
 
+def write_lines(lines: DataFrame, head: str, path: str) -> None:
+    """Texts as a folder of part files, each with its own first line; tasks write what they hold."""
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    text_ = F.when(first, F.concat(F.lit(head), "line")).otherwise(F.col("line"))
+    lines.select(text_.alias("value")).write.text(path)
+
+
+def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(text("o_orderkey").alias("key"), "o_orderstatus", "o_orderpriority")
+
+
+ORDER_NAMES = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+
+
 def dirty_order_files(spark: SparkSession, sf_dir: str) -> str:
-    """All orders in four files: commas, semicolons, blank lines first, short and long lines."""
-    orders = table(spark, sf_dir, "orders").select(text("o_orderkey").alias("key"), "o_orderstatus", "o_orderpriority")
+    """All orders in five files: commas, semicolons, blank lines first, short and long lines, quoted breaks.
+
+    The fourth has two malformed lines for each good one. In the fifth every order is a record
+    of three lines, with quotes and separators inside its quoted field.
+    """
+    orders = order_texts(spark, sf_dir)
     root = fresh_path(spark, "dirty")
-    names = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
-    styles = [(",", ""), (";", ""), (",", " \n\n"), (",", "")]
+    styles = [(",", ""), (";", ""), (",", " \n\n"), (",", ""), (",", "")]
     for k, (sep, before) in enumerate(styles):
-        own = orders.where(F.col("key").cast("long") % 4 == k)
+        own = orders.where(F.col("key").cast("long") % len(styles) == k)
         line = F.concat_ws(sep, "key", "o_orderstatus", "o_orderpriority")
-        if k == 3:  # two malformed lines for each good one
+        if k == 3:
             line = F.concat(line, F.lit("\nx"), F.lit("\na,b,c,d"))
-        head = spark.createDataFrame([(before + sep.join(names), 0)], "value string, part int")
-        lines = head.unionByName(own.select(line.alias("value"), F.lit(1).alias("part")))
-        lines.coalesce(1).sortWithinPartitions("part").select("value").write.text(f"{root}/orders_{k}.csv")
+        if k == 4:
+            note = [F.lit('"'), "o_orderpriority", F.lit('\n""'), "o_orderstatus", F.lit('"", x\n"')]
+            line = F.concat_ws(",", "key", "o_orderstatus", F.concat(*note))
+        write_lines(own.select(line.alias("line")), before + sep.join(ORDER_NAMES) + "\n", f"{root}/orders_{k}.csv")
     return root
 
 
@@ -129,6 +151,47 @@ def csv_dirty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_by_name(spark, dirty_order_files(spark, sf_dir))
 
 
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that the reader of the same files leaves out, and why."""
+    return read_csv_rejects(spark, dirty_order_files(spark, sf_dir))
+
+
+@query
+def csv_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read and left out per file."""
+    files = look_at_csv(spark, dirty_order_files(spark, sf_dir))
+    return load_summary(files.rows(), files.rejects())
+
+
+@query
+def csv_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in six dialects: other separators and quotes, no header, repeated and empty names."""
+    orders = order_texts(spark, sf_dir)
+    root = fresh_path(spark, "dialects")
+    key, status, priority = F.col("key"), F.col("o_orderstatus"), F.col("o_orderpriority")
+
+    def joined(sep: str, *parts: Column) -> Column:
+        return F.concat_ws(sep, *parts)
+
+    def quoted(quote: str, *parts: Column | str) -> Column:
+        return F.concat(F.lit(quote), *[F.lit(p) if isinstance(p, str) else p for p in parts], F.lit(quote))
+
+    names = "key{0}status{0}priority\n"
+    styles = [
+        (names.format("^"), joined("^", key, status, priority)),
+        (names.format(";"), joined(";", quoted("'", key), quoted("'", status, ";"), quoted("'", priority))),
+        ("", joined("\t", key, status, priority)),
+        (names.format(","), joined(",", key, quoted('"', status, "\n,"), priority)),
+        ("key|key||\n", joined("|", key, status, priority, F.lit(""))),
+        (names.format("~"), joined("~", key, F.concat(status, F.lit('" '), status), priority)),
+    ]
+    for k, (head, line) in enumerate(styles):
+        own = orders.where(key.cast("long") % len(styles) == k)
+        write_lines(own.select(line.alias("line")), head, f"{root}/style_{k}.csv")
+    return read_csv_by_name(spark, root)
+
+
 @query
 def merge_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged, _ = merge_raw_files(spark, dirty_order_files(spark, sf_dir), fresh_path(spark, "merged"))

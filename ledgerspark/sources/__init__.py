@@ -1,7 +1,12 @@
 from ledgerspark.sources.csv_files import (
+    CsvFiles,
+    ledger_files,
+    load_summary,
+    look_at_csv,
     merge_raw,
     qualified_root,
     read_csv_by_name,
+    read_csv_rejects,
     read_ledger_csv,
     relative_path,
     unreadable_files,
@@ -24,17 +29,22 @@ from ledgerspark.sources.tables import (
 )
 
 __all__ = [
+    "CsvFiles",
     "changed_files",
     "export_all",
     "file_manifest",
     "file_status",
     "ingest_summary",
+    "ledger_files",
     "line_checksums",
     "list_files",
+    "load_summary",
+    "look_at_csv",
     "materialize",
     "merge_raw",
     "qualified_root",
     "read_csv_by_name",
+    "read_csv_rejects",
     "read_ledger_csv",
     "read_table",
     "read_targets",

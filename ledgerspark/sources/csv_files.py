@@ -1,50 +1,56 @@
-"""Raw CSV files: union by column name, bad lines dropped, source path kept."""
+"""Raw CSV files: union by column name, lines that do not fit set aside, source path kept."""
 
 from __future__ import annotations
 
-import csv
 import logging
 import posixpath
 import re
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from functools import reduce
-from urllib.parse import unquote
 
-import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.sources.csv_dialect import (
+    Dialect,
+    detect_dialects,
+    ends_inside,
+    field_count,
+    header_lines,
+)
 from ledgerspark.sources.manifest import list_files
 
 LOG = logging.getLogger(__name__)
 SOURCE_PATH = "source_path"
-SEPARATORS = (",", ";", "\t", "|")
 COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 PROBES = 16
-ONE_FILE = str(1 << 40)
+_CORRUPT = "_rejected_line"
+_KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
 
-def _options(multi_line: bool, sep: str, quote: str, encoding: str) -> dict[str, object]:
+def _options(dialect: Dialect, encoding: str = "UTF-8") -> dict[str, object]:
     # Quotes are escaped by doubling. Column pruning is off because with it a
     # count or a one-column select keeps malformed lines that collect() drops.
-    # Multi-line values make files unsplittable, so they are opt-in.
     return {
-        "header": True,
+        "header": dialect.header is not None,
         "mode": "DROPMALFORMED",
         "columnPruning": False,
-        "sep": sep,
-        "quote": quote,
-        "escape": quote,
+        "sep": dialect.sep,
+        "quote": dialect.quote,
+        "escape": dialect.quote,
         "encoding": encoding,
-        "multiLine": multi_line,
+        "multiLine": dialect.breaks,
     }
 
 
+def _quoted(name: str) -> str:
+    return "`{}`".format(name.replace("`", "``"))
+
+
 def _paths(spark: SparkSession, glob: str) -> list[str]:
     try:
         return sorted(r.path for r in list_files(spark, glob).select("path").collect())
@@ -54,46 +60,6 @@ def _paths(spark: SparkSession, glob: str) -> list[str]:
         raise
 
 
-@contextmanager
-def _one_task_per_file(spark: SparkSession) -> Iterator[None]:
-    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
-    before = {name: spark.conf.get(name) for name in names}
-    for name in names:
-        spark.conf.set(name, ONE_FILE)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-
-
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
-def header_lines(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, str]:
-    """First line that is not blank, by file; a file without one is left out.
-
-    One job with a task per file, which stops after its first batch of lines. One line per file
-    reaches the driver, where Spark keeps the list of files as well.
-    """
-    options = {"sep": "\u0001", "quote": "", "encoding": encoding}
-    lines = spark.read.options(**options).schema("line string").csv(paths)
-    lines = lines.select(F.col("_metadata.file_path").alias("path"), "line")
-    with _one_task_per_file(spark):
-        rows = lines.mapInArrow(_first_row, "path string, line string").collect()
-    return {unquote(r.path): r.line.lstrip("\ufeff") for r in rows}
-
-
-def detect_separator(header: str, quote: str = '"') -> str:
-    """The separator found most often outside quotes; a comma when there is none."""
-    bare = re.sub(f"{re.escape(quote)}[^{re.escape(quote)}]*{re.escape(quote)}", "", header)
-    return max(SEPARATORS, key=bare.count)
-
-
 def unreadable_files(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> dict[str, str]:
     """Error condition by path, for files that cannot be read to their end.
 
@@ -177,26 +143,103 @@ def relative_path(path: Column, root: str) -> Column:
     return F.when(under.contains("/part-"), whole).otherwise(under)
 
 
-def read_csv_by_name(
+@dataclass(frozen=True)
+class CsvFiles:
+    """Files that were looked at: dialect by path, and the files that hold blank lines only."""
+
+    spark: SparkSession
+    root: str
+    encoding: str
+    dialects: dict[str, Dialect]
+    blank: list[str]
+
+    def groups(self) -> dict[Dialect, list[str]]:
+        """Spark maps columns by position, so only files of one dialect are read together."""
+        out: dict[Dialect, list[str]] = {}
+        for path, dialect in sorted(self.dialects.items()):
+            out.setdefault(dialect, []).append(path)
+        return out
+
+    def rows(self, with_source: bool = True) -> DataFrame:
+        """All records that fit their file's header, as text columns, matched by name."""
+        parts = []
+        for dialect, paths in self.groups().items():
+            if dialect.unclosed:
+                lines = self._lines(dialect, paths).where("fits").select(SOURCE_PATH, "fields.*")
+                names = dict(zip(lines.columns[1:], [*dialect.columns, _CORRUPT], strict=True))
+                part = lines.withColumnsRenamed(names).select(*map(_quoted, dialect.columns), SOURCE_PATH)
+                part = part if with_source else part.drop(SOURCE_PATH)
+            else:
+                schema = T.StructType([T.StructField(c, T.StringType()) for c in dialect.columns])
+                options = _options(dialect, self.encoding)
+                part = self.spark.read.options(**options).schema(schema).csv(paths)
+                if with_source:
+                    part = part.select("*", self._source().alias(SOURCE_PATH))
+            parts.append(part)
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def rejects(self) -> DataFrame:
+        """The records that ``rows`` leaves out: source_path, line, reason."""
+        parts = []
+        for dialect, paths in self.groups().items():
+            if dialect.unclosed:
+                bad = self._lines(dialect, paths).where(~F.col("fits"))
+            else:
+                fields = [T.StructField(c, T.StringType()) for c in [*dialect.columns, _CORRUPT]]
+                options = _options(dialect, self.encoding) | _KEEP_CORRUPT
+                read = self.spark.read.options(**options).schema(T.StructType(fields))
+                # Spark refuses to read the rejected line alone, so nothing of a column goes with it.
+                nothing = F.coalesce(F.substring(F.col(_quoted(dialect.columns[0])), 1, 0), F.lit(""))
+                line = F.concat(F.col(_CORRUPT), nothing).alias("line")
+                bad = read.csv(paths).select(self._source().alias(SOURCE_PATH), line)
+                bad = bad.where(F.col("line").isNotNull())
+            line = F.col("line")
+            count = field_count(line, dialect.sep, dialect.quote).cast("string")
+            count = F.concat(count, F.lit(f" of {dialect.width} fields"))
+            left_open = ends_inside(line, dialect.sep, dialect.quote)
+            reason = F.when(left_open, "quote left open").otherwise(count).alias("reason")
+            parts.append(bad.select(SOURCE_PATH, "line", reason))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _lines(self, dialect: Dialect, paths: list[str]) -> DataFrame:
+        """Files with a quote that never closes, line by line: such a quote ends with its line.
+
+        Returns source_path, line, fields, and whether the line fits: its quotes close, and it
+        has as many fields as the header.
+        """
+        options = {"header": dialect.header is not None, "sep": "\u0001", "quote": "", "encoding": self.encoding}
+        lines = self.spark.read.options(**options).schema("line string").csv(paths)
+        schema = ", ".join(f"c{k} string" for k in range(dialect.width)) + f", {_CORRUPT} string"
+        own = {"sep": dialect.sep, "quote": dialect.quote, "escape": dialect.quote} | _KEEP_CORRUPT
+        lines = lines.select(self._source().alias(SOURCE_PATH), "line", F.from_csv("line", schema, own).alias("fields"))
+        closed = ~ends_inside(F.col("line"), dialect.sep, dialect.quote)
+        return lines.select("*", (closed & F.col(f"fields.{_CORRUPT}").isNull()).alias("fits"))
+
+    def _source(self) -> Column:
+        return relative_path(F.col("_metadata.file_path"), self.root)
+
+
+def look_at_csv(
     spark: SparkSession,
     root: str,
     pattern: str = "*.csv",
-    multi_line: bool = False,
-    with_source: bool = True,
+    multi_line: bool | None = None,
     sep: str | None = None,
-    quote: str = '"',
+    quote: str | None = None,
     encoding: str = "UTF-8",
+    header: bool | None = None,
     paths: list[str] | None = None,
     required: list[str] | None = None,
-) -> DataFrame:
-    """All matching files under ``root`` as text columns, matched by header name.
-
-    A Spark read over several files maps columns by position, so files are read
-    in one group per separator and header, and the groups are unioned by name, with
-    NULL for absent columns. The first line that is not blank is the header; without ``sep``
-    the separator is detected from it. Files of blank lines only are logged and hold no rows;
-    a file that cannot be read fails the job. ``paths`` reads these files only, such as those of
-    ``changed_files``. ValueError names the files whose header has none of ``required``.
+) -> CsvFiles:
+    """Find the files and their dialects.
+
+    The first line that is not blank is the header, unless it looks like the lines after it; see
+    ``detect_dialects`` for what None finds out. ``multi_line`` None looks for quoted line
+    breaks in one pass over all lines and reads only the files that may have some as a whole;
+    False trusts that there are none, True reads every file as a whole. A file in which a quote
+    never closes is logged and read line by line. Files of blank lines only
+    are logged and hold no rows; a file that cannot be read fails the job. ``paths`` looks at these
+    files only. ValueError names the files whose header has none of ``required``.
     """
     root = qualified_root(spark, root)
     if paths is None:
@@ -204,43 +247,68 @@ def read_csv_by_name(
     heads = header_lines(spark, paths, encoding) if paths else {}
     if not heads:
         raise FileNotFoundError(f"no CSV file with a header matches {root}/{pattern}")
-    if len(heads) < len(paths):
-        LOG.warning("%d of %d files hold blank lines only", len(paths) - len(heads), len(paths))
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for path, line in sorted(heads.items()):
-        own = sep or detect_separator(line, quote)
-        header = next(csv.reader([line], delimiter=own, quotechar=quote))
-        groups.setdefault((own, tuple(header)), []).append(path)
+    seen = {_plain(p) for p in heads}
+    blank = sorted(p for p in paths if _plain(p) not in seen)
+    if blank:
+        LOG.warning("%d of %d files hold blank lines only", len(blank), len(paths))
+    dialects = detect_dialects(spark, heads, sep, quote, encoding, header, multi_line)
+    if damaged := sorted(p for p, d in dialects.items() if d.unclosed):
+        LOG.warning("a quote never closes in %s", damaged)
+    for path, dialect in dialects.items():
+        if dialect.breaks and not dialect.unclosed and _left_open(heads[path], dialect.quote):
+            dialects[path] = _with_whole_header(spark, path, dialect, encoding)
     wanted = {c.lower() for c in required or ()}
-    strange = [f for (_, h), fs in groups.items() if not wanted & {c.lower() for c in h} for f in fs]
+    strange = [p for p, d in dialects.items() if not wanted & {c.lower() for c in d.columns}]
     if required and strange:
         raise ValueError(f"no expected column in the header of {strange}")
-    parts = []
-    for (own, header), files in groups.items():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        options = _options(multi_line, own, quote, encoding)
-        part = spark.read.options(**options).schema(schema).csv(files)
-        if with_source:
-            source = relative_path(F.col("_metadata.file_path"), root)
-            part = part.select("*", source.alias(SOURCE_PATH))
-        parts.append(part)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return CsvFiles(spark, root, encoding, dialects, blank)
 
 
-def read_ledger_csv(
-    spark: SparkSession,
-    root: str,
-    columns: list[str],
-    pattern: str = "ledger_fy*.csv",
-    multi_line: bool = False,
-    **options: object,
+def _plain(path: str) -> str:
+    """One spelling for ``file:/x`` and ``file:///x``."""
+    return re.sub(r"^([a-zA-Z][\w+.-]*:)/+", r"\1/", path)
+
+
+def _left_open(line: str, quote: str) -> bool:
+    return line.count(quote) % 2 == 1
+
+
+def _with_whole_header(spark: SparkSession, path: str, dialect: Dialect, encoding: str) -> Dialect:
+    """The dialect of a file whose header itself has a quoted line break; reads its first record."""
+    options = _options(dialect, encoding) | {"header": False, "mode": "PERMISSIVE"}
+    first = spark.read.options(**options).csv(path).head()
+    names = tuple(name or "" for name in first)
+    return replace(dialect, header=names, width=len(names))
+
+
+def read_csv_by_name(
+    spark: SparkSession, root: str, pattern: str = "*.csv", with_source: bool = True, **options: object
 ) -> DataFrame:
-    """The declared raw columns plus ``source_path``; undeclared columns are left out.
+    """All matching files under ``root`` as text columns, matched by header name.
 
-    Every file must have one of the declared columns at least. ``options`` are those of
-    ``read_csv_by_name``.
+    NULL stands for columns that a file does not have. Repeated names of one header are numbered, and empty
+    names or those of a file without header are ``column0``, ``column1`` and so on. Records with
+    more or fewer fields than their header are left out; ``CsvFiles.rejects`` returns them.
+    ``options`` are those of ``look_at_csv``.
     """
-    df = read_csv_by_name(spark, root, pattern, multi_line, required=columns, **options)
+    return look_at_csv(spark, root, pattern, **options).rows(with_source)
+
+
+def read_csv_rejects(spark: SparkSession, root: str, pattern: str = "*.csv", **options: object) -> DataFrame:
+    """What ``read_csv_by_name`` leaves out: source_path, line, reason."""
+    return look_at_csv(spark, root, pattern, **options).rejects()
+
+
+def ledger_files(
+    spark: SparkSession, root: str, columns: list[str], pattern: str = "ledger_fy*.csv", **options: object
+) -> CsvFiles:
+    """The files of a ledger, each with a header that has one of ``columns`` at least."""
+    options = {"quote": '"', "header": True} | options
+    return look_at_csv(spark, root, pattern, required=columns, **options)
+
+
+def declared_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The declared raw columns plus ``source_path``; undeclared columns are left out."""
     present = {c.lower() for c in df.columns}
     return df.select(
         *[
@@ -251,14 +319,30 @@ def read_ledger_csv(
     )
 
 
+def read_ledger_csv(
+    spark: SparkSession, root: str, columns: list[str], pattern: str = "ledger_fy*.csv", **options: object
+) -> DataFrame:
+    """``declared_columns`` of the rows of ``ledger_files``."""
+    return declared_columns(ledger_files(spark, root, columns, pattern, **options).rows(), columns)
+
+
+def load_summary(rows: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Records read and left out per file: source_path, rows, rejected."""
+    both = rows.select(SOURCE_PATH, F.lit(0).alias("bad"))
+    both = both.unionByName(rejects.select(SOURCE_PATH, F.lit(1).alias("bad")))
+    return both.groupBy(SOURCE_PATH).agg(
+        F.count_if(F.col("bad") == 0).alias("rows"), F.count_if(F.col("bad") == 1).alias("rejected")
+    )
+
+
 def merge_raw(
-    spark: SparkSession, root: str, out: str, fmt: str = "parquet", multi_line: bool = False,
-    **options: object,
-) -> tuple[DataFrame, DataFrame]:
+    spark: SparkSession, root: str, out: str, fmt: str = "parquet", **options: object
+) -> tuple[DataFrame, DataFrame]:
     """Write every CSV under ``root`` as one table; returns it and the files left out.
 
     A file that cannot be read to its end contributes no row; it is listed as (path, reason), and so
     are files without a header. Raises FileNotFoundError when no file can be read. Columns stay text.
+    ``options`` are those of ``look_at_csv``.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"unknown output format {fmt}")
@@ -267,19 +351,18 @@ def merge_raw(
     found = _paths(spark, glob)
     broken = unreadable_files(spark, found, encoding)
     good = [p for p in found if p not in broken]
-    blank = len(header_lines(spark, good, encoding)) < len(good) if good else False
-    if blank:
-        broken |= {p: "BLANK" for p in good if not header_lines(spark, [p], encoding)}
-        good = [p for p in good if p not in broken]
-    df = read_csv_by_name(spark, root, multi_line=multi_line, with_source=False, paths=good, **options)
+    files = look_at_csv(spark, root, paths=good, **options)
+    broken |= dict.fromkeys(files.blank, "BLANK")
     broken |= dict.fromkeys(empty_files(spark, glob), "EMPTY")
+    df = files.rows(with_source=False)
     skipped = spark.createDataFrame(sorted(broken.items()), "path string, reason string")
     writer = df.write.mode("overwrite")
     if fmt == "parquet":
         writer.parquet(out)
         return spark.read.schema(df.schema).parquet(out), skipped
     write_csv(df, out)
-    written = _options(multi_line, ",", '"', "UTF-8")
+    breaks = any(d.breaks for d in files.dialects.values())
+    written = _options(Dialect(",", '"', tuple(df.columns), len(df.columns), breaks))
     return spark.read.options(**written).schema(df.schema).csv(out), skipped
 
 

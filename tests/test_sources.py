@@ -2,10 +2,16 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import os
+import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerspark.plans.staging import RAW_COLUMNS
 from ledgerspark.sources import (
@@ -15,6 +21,8 @@ from ledgerspark.sources import (
     file_status,
     ingest_summary,
     line_checksums,
+    load_summary,
+    look_at_csv,
     materialize,
     merge_raw,
     read_csv_by_name,
@@ -22,6 +30,9 @@ from ledgerspark.sources import (
     read_targets,
     targets_frame,
 )
+from ledgerspark.sources.csv_dialect import walk
+
+ROOT = Path(__file__).resolve().parent.parent
 
 
 def test_malformed_lines_are_dropped_from_every_plan(spark, tmp_path):
@@ -213,3 +224,131 @@ def test_export(spark, tmp_path):
     assert {n: spark.read.parquet(p).count() for n, p in paths.items()} == {"a": 5, "b": 3}
     files = [f.name for f in (tmp_path / "b").iterdir() if f.name.endswith(".parquet")]
     assert all(".zstd." in f for f in files)
+
+
+def rows_in(spark, folder, **options):
+    files = look_at_csv(spark, str(folder), **options)
+    return [r.asDict() for r in files.rows().collect()], [tuple(r) for r in files.rejects().collect()]
+
+
+def test_quoted_line_breaks_are_found(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A,B\n1,"x\r\n\n""y"", z"\n2,"w"\n')
+    (tmp_path / "b.csv").write_text('A,B\n3,"p ""q"", r"\n4,5" pipe\n')
+    (tmp_path / "c.csv").write_text('A,"B"\n5,5" pipe\n6,"5"" x\ny"\n"7\n","\n8,9\n"\n')
+    files = look_at_csv(spark, str(tmp_path))
+    assert [d.breaks for _, d in sorted(files.dialects.items())] == [True, False, True]
+    rows, rejects = rows_in(spark, tmp_path)
+    assert rejects == []
+    assert sorted((r["A"], r["B"]) for r in rows) == [
+        ("1", 'x\r\n\n"y", z'), ("2", "w"), ("3", 'p "q", r'), ("4", '5" pipe'),
+        ("5", '5" pipe'), ("6", '5" x\ny'), ("7\n", "\n8,9\n"),
+    ]
+    df = read_csv_by_name(spark, str(tmp_path))
+    assert df.count() == df.select("B").count() == 7
+
+
+def test_clean_files_stay_splittable(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n" + "".join(f'{k},"v ""{k}"", w"\n' for k in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        df = read_csv_by_name(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 20_000
+        (tmp_path / "a.csv").write_text("A,B\n" + "".join(f'{k},"v\n{k}"\n' for k in range(20_000)))
+        df = read_csv_by_name(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() == 1 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rejects_and_reasons(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A,B\n1,2\n1,2,3\n\n6\n"x,y",z,"u,\nv"\n')
+    (tmp_path / "b.csv").write_text('A,B\n6,7"\n1,"never closed\n2,3\n4,5\n8,9,10\n')
+    rows, rejects = rows_in(spark, tmp_path)
+    assert sorted((r["A"], r["B"]) for r in rows) == [("1", "2"), ("2", "3"), ("4", "5"), ("6", '7"')]
+    assert sorted(rejects) == [
+        ("a.csv", '"x,y",z,"u,\nv"', "3 of 2 fields"),
+        ("a.csv", "1,2,3", "3 of 2 fields"),
+        ("a.csv", "6", "1 of 2 fields"),
+        ("b.csv", '1,"never closed', "quote left open"),
+        ("b.csv", "8,9,10", "3 of 2 fields"),
+    ]
+    files = look_at_csv(spark, str(tmp_path))
+    summary = {tuple(r) for r in load_summary(files.rows(), files.rejects()).collect()}
+    assert summary == {("a.csv", 1, 3), ("b.csv", 3, 2)}
+
+
+def test_trusting_that_there_are_no_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A,B\n1,"x\ny"\n')
+    assert rows_in(spark, tmp_path, multi_line=True)[0][0]["B"] == "x\ny"
+    assert not look_at_csv(spark, str(tmp_path), multi_line=False).dialects.popitem()[1].breaks
+
+
+@pytest.mark.parametrize(
+    ("text", "dialect", "first"),
+    [
+        ("A^B\n1^2\n", ("^", '"'), {"A": "1", "B": "2"}),
+        ("A;B\n'x;y';2\n'z';3\n", (";", "'"), {"A": "x;y", "B": "2"}),
+        ("A,B\n'tis,2\nO'Neil,3\n", (",", '"'), {"A": "'tis", "B": "2"}),
+        ("A B~C-D\n1-2~3\nx~y-z\n", ("~", '"'), {"A B": "1-2", "C-D": "3"}),
+        ("1\tx\n2\ty\n3\tz\n", ("\t", '"'), {"column0": "1", "column1": "x"}),
+        ("k,2021,2022\na,1,2\nb,3,4\n", (",", '"'), {"column0": "k", "column1": "2021"}),
+        ("id,2021,2022\n7,1,2\n8,3,4\n", (",", '"'), {"id": "7", "2021": "1"}),
+        ("A,a,,A\n1,2,3,4\n", (",", '"'), {"A": "1", "a_1": "2", "column2": "3", "A_2": "4"}),
+        ('"A\nB",C\n1,2\n', (",", '"'), {"A\nB": "1", "C": "2"}),
+        ("one\nx\n", (",", '"'), {"one": "x"}),
+    ],
+)
+def test_dialects(spark, tmp_path, text, dialect, first):
+    (tmp_path / "a.csv").write_text(text)
+    (found,) = look_at_csv(spark, str(tmp_path)).dialects.values()
+    assert (found.sep, found.quote) == dialect
+    rows, rejects = rows_in(spark, tmp_path)
+    assert rejects == [] and first.items() <= rows[0].items()
+
+
+LINES = ['1,"x', 'y",2', '"a""b"', 'p"q,r', '"",""', ',"', '"', "x,y", '"""', 'a,"b"c,"d']
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_walk_agrees_with_a_plain_reader(spark, seed):
+    rng = random.Random(seed)
+    lines = [*LINES, *("".join(rng.choices('",x ', k=rng.randint(1, 12))) for _ in range(200))]
+
+    def plain(line, inside):
+        place, seps = 2 if inside else 1, 0
+        for c in line:
+            if c == '"':
+                place = {0: 0, 1: 2, 2: 3, 3: 2}[place]
+            elif place != 2:
+                place, seps = (1, seps + 1) if c == "," else (0, seps)
+        return place == 2, seps
+
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    for inside in (False, True):
+        walked = walk(F.col("line"), ",", '"', inside)
+        rows = df.select("line", (walked["place"] == 2).alias("open"), walked["seps"].alias("seps")).collect()
+        assert [(r.open, r.seps) for r in rows] == [plain(r.line, inside) for r in rows]
+
+
+def test_blank_files_in_one_look(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"{k}.csv").write_text("A\n1\n" if k else " \n\n")
+    merged, skipped = merge_raw(spark, str(tmp_path), str(tmp_path / "out"))
+    assert merged.count() == 5
+    assert [(r.path.split("/")[-1], r.reason) for r in skipped.collect()] == [("0.csv", "BLANK")]
+
+
+def test_workers_need_no_package(tmp_path):
+    (tmp_path / "a.csv").write_text('A,B\n1,"x\ny"\n')
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from ledgerspark.session import local_session
+spark = local_session(2, **{{"spark.executorEnv.PYTHONPATH": ""}})
+from ledgerspark.sources import read_csv_by_name
+print("ROWS", [tuple(r) for r in read_csv_by_name(spark, {str(tmp_path)!r}).collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert "ROWS [('1', 'x\\ny', 'a.csv')]" in run.stdout, run.stderr[-2000:]
