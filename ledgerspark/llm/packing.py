@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,22 +18,85 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm.shared import gather, map_slices, stored, text_or_empty
+from ledgerspark.llm.shared import map_slices, stored, text_or_empty
 
 CAPACITY = 4096
 END_ID = 1
-#: Entries that a worker keeps; a full cache starts anew.
-CACHE = 250_000
+#: Pieces that a worker remembers, in two halves: the older one goes when the newer one is full.
+CACHE = 500_000
+#: Bytes of a text that are worked through at a time.
+PART = 1 << 20
+
+# How the tokenizer's file prepares texts, as far as it is done here.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+#: Characters whose lower case and kind are the same everywhere: ASCII and Latin up to U+017F.
+LATIN = r"^[\x21-\x7e\x{a1}-\x{12f}\x{131}-\x{17f}]*$"
+#: Stands before words for the whole tokenizer; no piece holds white space.
+WHOLE = "\n"
+
+
+def byte_letters() -> list[str]:
+    """The letter by which byte-level tokenizers show each byte: itself if visible, else one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in visible else next(others)) for b in range(256)]
+
+
+class Remembered:
+    """Token ids of pieces, one after the other, and each piece's place."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def add(self, piece: str, ids: Iterable[int]) -> int:
+        place = self.place[piece] = len(self.place)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        return place
+
+    def at(self, place: int) -> array:
+        return self.ids[self.ends[place] : self.ends[place + 1]]
+
+    def joined(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``places`` in a row, and the end of each."""
+        ids, ends = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.ends, np.int64)
+        return joined(ids, ends[places], ends[places + 1])
+
+
+def joined(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values from each start to its end, all in a row, and where each one's end there."""
+    sizes = ends - starts
+    after = np.cumsum(sizes)
+    total = int(after[-1]) if len(after) else 0
+    return values[np.repeat(starts - (after - sizes), sizes) + np.arange(total)], after
 
 
 class WordTokenizer:
-    """Ids of whole texts through a tokenizer whose tokens never cross white space.
-
-    Words recur, so texts are split at ASCII white space, and each distinct word not met
-    before is given to the tokenizer once. A capital at its start and a stop at its end are
-    taken off first, which is what the tokenizer's own lower-casing and splitting come to;
-    what is then a run of ASCII letters goes to the tokenizer's model directly. The file's own
-    added tokens, such as ``<|endoftext|>``, are found within words as the tokenizer does.
+    """Ids of whole texts through a tokenizer file whose normalizer and splitting are those above.
+
+    No token crosses white space and words recur, so texts are split at ASCII white space, and the
+    distinct words of a batch are made lower case and split as the file says. Each distinct piece is
+    looked up once, and given to the tokenizer's model if it is new. Words with other
+    characters than ``LATIN``, or with one of the file's own added tokens such as
+    ``<|endoftext|>``, go to the whole tokenizer. A file that prepares texts in another way gets
+    whole texts.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -38,47 +104,81 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.cache, self.words = cache, {}
+        file = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.known = file["normalizer"] == NORMALIZER and file["pre_tokenizer"] == PRE_TOKENIZER
+        self.added = [t["content"] for t in file["added_tokens"]]
+        self.letters = byte_letters()
+        self.half = max(1, cache // 2)
+        self.older, self.newer = Remembered(), Remembered()
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """Ids of each text."""
+        """Ids of each text. Texts longer than ``PART`` are worked through part by part."""
+        if not self.known:
+            for text in texts.to_pylist():
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            return
+        start = 0
+        for at in np.flatnonzero(pc.binary_length(texts).to_numpy() > PART).tolist():
+            yield from self._words(texts.slice(start, at - start))
+            parts = _parts(texts[at].as_py())
+            yield np.concatenate([ids for part in parts for ids in self._words(pa.array([part]))])
+            start = at + 1
+        yield from self._words(texts.slice(start))
+
+    def _words(self, texts: pa.Array) -> Iterator[np.ndarray]:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.words) > self.cache:
-            self.words.clear()
-        words, known = self.words, self.words.get
-        values = [known(word) for word in distinct]
-        new = {distinct[k]: self._plain(distinct[k]) for k, v in enumerate(values) if v is None}
-        self._learn({stem for stem, _ in new.values()} | {stop for _, stop in new.values()})
-        for word, (stem, stop) in new.items():
-            words[word] = words[stem] + words[stop]
-        values = [words[w] if v is None else v for w, v in zip(distinct, values, strict=True)]
-        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
-        return gather(values, coded.indices.to_numpy(), ends)
-
-    def _learn(self, words: set[str]) -> None:
-        rest, tokenize = [], self.tokenizer.model.tokenize
-        for word in words - {""}:
-            if word in self.words:
-                continue
-            if word.isascii() and word.isalpha() and word.islower():
-                self.words[word] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
-            else:
-                rest.append(word)
-        encoded = self.tokenizer.encode_batch(rest, add_special_tokens=False)
-        for word, e in zip(rest, encoded, strict=True):
-            self.words[word] = np.array(e.ids, "<u4").tobytes()
-        self.words[""] = b""
-
-    @staticmethod
-    def _plain(word: str) -> tuple[str, str]:
-        """Stem and stop; letters above U+00FF and other signs are left to the tokenizer."""
-        stem = word[:-1] if word.endswith((".", ",")) else word
-        if len(stem) < len(word) and not ("0" <= stem[-1:] <= "\u00ff" and stem[-1].isalnum()):
-            stem = word
-        lower = stem[:1].lower() + stem[1:] if stem[:1].isascii() else stem
-        return lower, word[len(stem) :]
+        pieces = self._pieces(coded.dictionary)
+        ids, ends = self._ids(pieces.flatten().dictionary_encode())
+        ends = np.append(0, ends)[pieces.offsets.to_numpy()]  # of each distinct word
+        index = coded.indices.to_numpy()
+        out, after = joined(ids, ends[:-1][index], ends[1:][index])
+        last = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        bounds = np.append(0, after)[np.append(0, last)].tolist()
+        return (out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+
+    def _pieces(self, words: pa.StringArray) -> pa.ListArray:
+        """What each word is made of, for the model; or the word after ``WHOLE``."""
+        plain = pc.match_substring_regex(words, LATIN)
+        for token in self.added:
+            plain = pc.and_not(plain, pc.match_substring(words, token))
+        lower = pc.utf8_lower(words)
+        mixed = pc.and_not(plain, pc.utf8_is_alpha(lower))  # others are one piece, or whole
+        cut = pc.replace_substring_regex(lower.filter(mixed), SPLIT, r"\0 ")
+        lower = pc.replace_with_mask(lower, mixed, pc.ascii_rtrim(cut, " "))
+        whole = pc.binary_join_element_wise(WHOLE, words, "")
+        return pc.split_pattern(pc.if_else(plain, lower, whole), " ")
+
+    def _ids(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and the end of each."""
+        if len(self.newer.place) > self.half:
+            self.older, self.newer = self.newer, Remembered()
+        known, add = self.newer.place.get, self._add
+        pieces = coded.dictionary.to_pylist()
+        places = np.array([add(p) if (k := known(p)) is None else k for p in pieces], np.int64)
+        return self.newer.joined(places[coded.indices.to_numpy()])
+
+    def _add(self, piece: str) -> int:
+        """Place of a piece that is new to the newer half."""
+        old = self.older.place.get(piece)
+        if old is not None:
+            return self.newer.add(piece, self.older.at(old))
+        if piece.startswith(WHOLE):
+            return self.newer.add(piece, self.tokenizer.encode(piece[1:], add_special_tokens=False).ids)
+        shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return self.newer.add(piece, [t.id for t in self.tokenizer.model.tokenize(shown)] if piece else ())
+
+
+def _parts(text: str) -> Iterator[str]:
+    """The text in parts that end at white space."""
+    start = 0
+    while len(text) - start > PART:
+        cut = max(text.rfind(c, start, start + PART) for c in " \n")
+        if cut < 0:
+            cut = min((at for c in " \n" if (at := text.find(c, start)) >= 0), default=len(text) - 1)
+        yield text[start : cut + 1]
+        start = cut + 1
+    yield text[start:]
 
 
 @lru_cache(maxsize=1)

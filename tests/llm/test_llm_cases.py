@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -160,8 +163,6 @@ def test_byte_bpe(docs, empty):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="aAbÉé \n\t'sl9\x1c\x85,.!ñ中\U0001f600İΣ\u0301|<>", max_size=40), max_size=4))
 def test_encoders_on_odd_texts(texts):
-    import pyarrow as pa
-
     ours = byte_bpe.text_encoder(RANKS, public_tokenizers.PATTERN)
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ours.bpe.ranks, special_tokens={})
     column = pa.array(texts, pa.string())
@@ -174,8 +175,6 @@ def test_encoders_on_odd_texts(texts):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|endo", "ftext|>", "a", "The", "É", "'s", "7", ".", " ", "\n", "\x1c", "|>"]), max_size=12), max_size=3))
 def test_added_tokens_in_texts(parts):
-    import pyarrow as pa
-
     texts = ["a <|endoftext|> b", "The<|endoftext|>. <|startoftext|>The,", *map("".join, parts)]
     plain = Tokenizer.from_file(WORDS)  # with the library's own settings
     expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
@@ -184,6 +183,32 @@ def test_added_tokens_in_texts(parts):
     assert [x.tolist() for x in got] == expected
 
 
+@pytest.mark.parametrize("part", [packing.PART, 50])
+def test_ids_of_odd_texts(monkeypatch, part):
+    # Two small halves that change places, long texts in parts, letters beyond Latin, added tokens.
+    monkeypatch.setattr(packing, "PART", part)
+    rng = random.Random(part)
+    signs = "aB zÀéßİſŉĲ'st ll ve 9²½\u00ad \u0085\x1c\x00\x7f\t\n\r\x0b日本Ⅷ\u0301éΣΑ<|endoftext|>_-%"
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(500)]
+    texts += ["", " ", "x" * 200, "é" * 120 + " y", prose(3, 300), "it's WE'LL don't 'S", "a <|endoftext|> b"]
+    plain = Tokenizer.from_file(WORDS)
+    plain.no_truncation()
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    tokenizer = packing.WordTokenizer(WORDS, 40)
+    for _ in range(2):
+        assert [x.tolist() for x in tokenizer.encode(pa.array(texts))] == expected
+
+
+def test_other_tokenizer_files_get_whole_texts(tmp_path):
+    file = json.loads(Path(WORDS).read_text(encoding="utf-8"))
+    file["normalizer"] = None
+    (tmp_path / "other.json").write_text(json.dumps(file), encoding="utf-8")
+    plain = Tokenizer.from_file(str(tmp_path / "other.json"))
+    texts = ["Some Text here", "", "it's  ALL"]
+    got = packing.WordTokenizer(str(tmp_path / "other.json")).encode(pa.array(texts))
+    assert [x.tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_chat(spark):
     events = [
         ("c", 2, "message", "m1", "user", "hi "), ("c", 3, "delta", "m1", None, "there"),
