@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +20,52 @@ from ledgerspark.session import fresh_path
 from ledgerspark.sources.tables import read_table
 
 
+#: Tables written for the stage of a pipeline that runs now or ran last, oldest first.
+_HELPERS: list[str] = []
+_in_stage = False
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back, which cuts the lineage.
 
     The table survives the executors that wrote it. Results may read it lazily, so it
-    stays until the folder is emptied after the run.
+    stays until the folder is emptied after the run, or until ``stage`` deletes it.
     """
     path = fresh_path(df.sparkSession, f"llm-{name}")
+    if _in_stage:
+        _HELPERS.append(path)
     df.write.parquet(path)
     return read_table(df.sparkSession, path, df)
 
 
+@contextmanager
+def stage(docs: DataFrame) -> Iterator[None]:
+    """Run one stage of a pipeline whose input is ``docs``.
+
+    What earlier stages have stored is deleted first, except what ``docs`` still reads, as
+    their results have been written by now. Collecting the driver's garbage lets Spark delete
+    the shuffle files of their plans.
+    """
+    global _in_stage
+    spark = docs.sparkSession
+    needed = [unquote(f) for f in docs.inputFiles()] if _HELPERS else []
+    for path in list(_HELPERS):
+        if not any(f"{path.split(':', 1)[-1].lstrip('/')}/" in f for f in needed):
+            delete_table(spark, path)
+            _HELPERS.remove(path)
+    spark.sparkContext._jvm.System.gc()
+    _in_stage = True
+    try:
+        yield
+    finally:
+        _in_stage = False
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
