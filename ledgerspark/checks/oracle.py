@@ -603,6 +603,29 @@ ORACLE_SQL: dict[str, str] = {
         "fact",
     ),
     "kpi_monthly_summary": sql("select * from kpi", "kpi"),
+    "mart_base": sql(
+        """
+    select fiscal_year, accounting_period, agency_sk, fund_sk, department_sk, account_sk, ledger,
+      cast(sign(amount) as integer) as sign, cast(sum(amount) as decimal(38,2)) as amount, count(*) as "rows"
+    from fact group by all""",
+        "fact",
+    ),
+    "marts_from_base": sql(
+        " union all ".join(
+            f"""select '{mart}' as mart, count(*) as "rows", cast(sum({net}) as decimal(38,2)) as net from {table}"""
+            for mart, net, table in [
+                ("kpi_monthly_summary", "net_amount", "kpi"),
+                ("mart_fund_year_period", "net_amount", "fund_mart"),
+                ("mart_agency_fund_year", "net_amount", "agency_mart"),
+                ("int_department_spend_monthly", "total_monthly_amount", "monthly"),
+                ("mart_budget_variance_by_fund", "budget_variance", f"({variance('fact')})"),
+            ]
+        ),
+        "kpi",
+        "fund_mart",
+        "agency_mart",
+        "monthly",
+    ),
     "mart_fund_year_period": sql("select * from fund_mart", "fund_mart"),
     "mart_agency_fund_year": sql("select * from agency_mart", "agency_mart"),
     "department_spend_monthly": sql("select * from monthly", "monthly"),
@@ -798,6 +821,13 @@ ORACLE_SQL: dict[str, str] = {
            then concat(o_orderpriority, chr(10), '"', o_orderstatus, '", x', chr(10))
            else o_orderpriority end as o_orderpriority
     from orders""",
+    "file_manifest": """
+    select (doc_id % 64)::integer as folder, strlen(string_agg(text || chr(10), '' order by text)) as length,
+      sha256(string_agg(text || chr(10), '' order by text)) as sha256
+    from documents where text <> '' group by 1""",
+    "release_silver": sql("select * from silver", "silver"),
+    "release_fact": sql("select * from fact", "fact"),
+    "release_kpi": sql("select * from kpi", "kpi"),
     "changed_files": """
     select cast(doc_id as varchar) as path, length(text) as length, sha256(text) as sha256
     from documents where doc_id % 7 = 3""",
@@ -841,6 +871,32 @@ ORACLE_SQL: dict[str, str] = {
         "fact",
     ),
     "schema_contract": sql("select * from contract", "contract"),
+    "contract_failure_cases": sql(
+        """
+    select ledger_sk as row_id, 'amount' as column_name, 'type double' as rule, concat('$', amount) as value
+    from silver where accounting_period = 4 and ledger = 'ENCUMBRANCE'
+    union all
+    select ledger_sk, 'fiscal_year', 'type int', 'FY' || fiscal_year from silver where accounting_period = 2
+    union all
+    select ledger_sk, 'fiscal_year', 'not null', null from silver where accounting_period = 3
+    union all
+    select ledger_sk, 'fiscal_year', '>= 2000', cast(fiscal_year as varchar)
+    from silver where accounting_period not in (2, 3) and fiscal_year < 2000
+    union all
+    select ledger_sk, 'quarter', '>= 1', '0' from silver where accounting_period = 0
+    union all
+    select ledger_sk, 'quarter', '<= 4', '5' from silver where accounting_period = 13""",
+        "silver",
+    ),
+    "contract_accepted": sql(
+        """
+    select cast(amount as double) as amount, fiscal_year, cast(ceil(accounting_period / 3) as integer) as quarter,
+      dept_descr as department_name, product_descr as vendor_name, acct_descr as transaction_description, fund_code
+    from silver
+    where accounting_period not in (0, 2, 3, 13) and not (accounting_period = 4 and ledger = 'ENCUMBRANCE')""",
+        "silver",
+    ),
+    "suite_from_json": sql(suite("silver", "\n".join(SILVER_CHECKS.splitlines()[:9])), "silver"),
     "schema_contract_violations": sql(
         " union all ".join(
             [

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from ledgerspark.operators.quality import (
 )
 from ledgerspark.plans.pipeline import WARN_ONLY, Gold, mart_plans, run_tests
 from ledgerspark.plans.pipeline import model_tests as pipeline_tests
+from ledgerspark.plans.releases import published
 from ledgerspark.plans.staging import RAW_COLUMNS, file_fiscal_quarter, quality_filter
 from ledgerspark.plans.suites import (
     AGENCY_MART_SUITE,
@@ -41,6 +44,7 @@ from ledgerspark.plans.suites import (
     MONTHS,
     NET_BALANCE,
     SILVER_COLUMN_SUITE,
+    SILVER_STORED_SUITE,
     SILVER_SUITE,
 )
 from ledgerspark.session import fresh_path
@@ -242,6 +246,35 @@ def file_quarters(x: Layers) -> DataFrame:
     return x.silver.groupBy("source_path", quarter).agg(F.count(F.lit(1)).alias("lines"))
 
 
+@on_layers
+def release_silver(x: Layers) -> DataFrame:
+    """Silver after a run over changed files only."""
+    return published(x.spark, x.releases, "stg_ledger")
+
+
+@on_layers
+def release_fact(x: Layers) -> DataFrame:
+    return published(x.spark, x.releases, "fct_transactions")
+
+
+@on_layers
+def release_kpi(x: Layers) -> DataFrame:
+    return published(x.spark, x.releases, "kpi_monthly_summary")
+
+
+@query
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and digest of one file per document, streamed by the tasks that read them."""
+    docs = table(spark, sf_dir, "documents").where("text <> ''")
+    root = fresh_path(spark, "texts")
+    folder = (F.col("doc_id") % 64).alias("folder")
+    lines = docs.select(folder, "text").repartition("folder").sortWithinPartitions("folder", "text")
+    lines.write.partitionBy("folder").text(root)
+    found = manifest.file_manifest(spark, f"{root}/folder=*/*.txt")
+    path = F.regexp_extract("path", "folder=([0-9]+)", 1).cast("int").alias("folder")
+    return found.select(path, "length", "sha256")
+
+
 # Cleaning and casts
 
 
@@ -477,6 +510,26 @@ def kpi_monthly_summary(x: Layers) -> DataFrame:
     return plans.kpi_monthly_summary(x.fact, x.dims)
 
 
+@on_layers
+def mart_base(x: Layers) -> DataFrame:
+    return plans.mart_base(x.fact)
+
+
+@on_layers
+def marts_from_base(x: Layers) -> DataFrame:
+    """Rows and net of each mart that is rolled up from the written base."""
+    base = materialize(plans.mart_base(x.fact), fresh_path(x.spark, "base"))
+    marts = mart_plans(x.fact, x.dims, base)
+    names = {"kpi_monthly_summary": "net_amount", "mart_fund_year_period": "net_amount"}
+    names |= {"mart_agency_fund_year": "net_amount", "int_department_spend_monthly": "total_monthly_amount"}
+    names |= {"mart_budget_variance_by_fund": "budget_variance"}
+    parts = [
+        marts[name].agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"), money_sum(net).alias("net"))
+        for name, net in names.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @on_layers
 def mart_fund_year_period(x: Layers) -> DataFrame:
     return plans.mart_fund_year_period(x.fact, x.dims)
@@ -721,6 +774,42 @@ def schema_contract_violations(x: Layers) -> DataFrame:
     return op.contract_violations(contract_source(x), LEDGER_CONTRACT)
 
 
+def untidy_contract_source(x: Layers) -> DataFrame:
+    """The contract's columns as texts, with years, amounts and quarters that break it."""
+    period, year = F.col("accounting_period"), text("fiscal_year")
+    dollars = (period == 4) & (F.col("ledger") == "ENCUMBRANCE")
+    return x.silver.select(
+        "ledger_sk",
+        F.when(dollars, F.concat(F.lit("$"), text("amount"))).otherwise(text("amount")).alias("amount"),
+        F.when(period == 2, F.concat(F.lit("FY"), year)).when(period != 3, year).alias("fiscal_year"),
+        F.ceil(period / 3).alias("quarter"),
+        F.col("dept_descr").alias("department_name"),
+        F.col("product_descr").alias("vendor_name"),
+        F.col("acct_descr").alias("transaction_description"),
+        "fund_code",
+    )
+
+
+@on_layers
+def contract_failure_cases(x: Layers) -> DataFrame:
+    return op.split_by_contract(untidy_contract_source(x), LEDGER_CONTRACT, "ledger_sk")[1]
+
+
+@on_layers
+def contract_accepted(x: Layers) -> DataFrame:
+    """The rows that keep a contract whose years are those of the sample."""
+    years = [replace(f, ge=1990) if f.name == "fiscal_year" else f for f in LEDGER_CONTRACT]
+    return op.split_by_contract(untidy_contract_source(x), years, "ledger_sk")[0]
+
+
+@on_layers
+def suite_from_json(x: Layers) -> DataFrame:
+    """The silver suite, written as JSON, read back and run."""
+    path = fresh_path(x.spark, "suite")
+    op.write_suite(x.spark, SILVER_STORED_SUITE, path, "silver_ledger_suite")
+    return op.run_suite(x.silver, op.read_suite(x.spark, path))
+
+
 def rounded(profile: DataFrame) -> DataFrame:
     return profile.withColumns({"mean": F.round("mean", 3), "stddev": F.round("stddev", 3)})
 

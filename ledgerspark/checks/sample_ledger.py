@@ -14,8 +14,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.operators.quality import NOT_NULL, UNIQUE, Expectation
 from ledgerspark.plans.marts import kpi_monthly_summary
-from ledgerspark.plans.pipeline import build_dims, build_fact, build_silver
+from ledgerspark.plans.pipeline import WARN_ONLY, build_dims, build_fact, build_silver
+from ledgerspark.plans.releases import run_release
 from ledgerspark.plans.staging import RAW_COLUMNS
 from ledgerspark.session import fresh_path
 from ledgerspark.sources.csv_files import read_ledger_csv, write_csv
@@ -38,6 +40,7 @@ ODD_VALUES = {
 }
 
 RAW_FILES = "file=ledger_fy*.csv"
+KEY_RULES = [Expectation(NOT_NULL, "amount"), Expectation(UNIQUE, "ledger_sk")]
 LEDGER_OF_FLAG = {"A": "ACTUALS", "N": "BUDGET"}
 
 
@@ -180,6 +183,26 @@ class Layers:
             kpi_monthly_summary(self.fact, self.dims), f"{self.root}/gold/kpi_monthly_summary"
         )
 
+    @cached_property
+    def releases(self) -> str:
+        """Folder with two releases of all lines; the second read only the files that had changed.
+
+        At the time of the first, files of one year held other amounts and those of another year
+        were not there.
+        """
+        path, out = f"{self.root}/moving", f"{self.root}/releases"
+        lines = self.raw.withColumnRenamed("source_path", "file")
+        changed, late = (F.startswith("file", F.lit(f"ledger_fy{y}")) for y in ("96", "98"))
+        other = F.when(changed, F.concat(F.lit("9"), F.ltrim(F.lit("-"), "POSTED_TOTAL_AMT")))
+        amount = F.coalesce(other, "POSTED_TOTAL_AMT")
+        write_csv(lines.where(~late).withColumn("POSTED_TOTAL_AMT", amount), path, ["file"])
+        loose = (*WARN_ONLY, "columns_stg_ledger")  # the sample's years are not the accepted ones
+        options = {"pattern": RAW_FILES, "silver_suite": KEY_RULES, "gold_suite": [], "warn_only": loose}
+        run_release(self.spark, path, out, **options)
+        write_csv(lines.where(changed | late), path, ["file"], keep_others=True)
+        run_release(self.spark, path, out, **options)
+        return out
+
 
 _LAYERS: dict[tuple[str, str], Layers] = {}
 

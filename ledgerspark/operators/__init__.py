@@ -25,9 +25,14 @@ from ledgerspark.operators.quality import (
     contract_violations,
     failures,
     gate,
+    read_suite,
     run_suite,
+    split_by_contract,
     statistics,
+    suite_from_json,
+    suite_to_json,
     write_results,
+    write_suite,
 )
 from ledgerspark.operators.rules import (
     allowed_pairs,
@@ -68,11 +73,15 @@ __all__ = [
     "period_scaffold",
     "plan_vs_actual",
     "prior_period_delta",
+    "read_suite",
     "reconcile",
     "run_suite",
     "signed_rollup",
+    "split_by_contract",
     "star_join",
     "statistics",
+    "suite_from_json",
+    "suite_to_json",
     "table_profile",
     "table_shape",
     "top_groups",
@@ -81,4 +90,5 @@ __all__ = [
     "unexpected_values",
     "weighted_sum",
     "write_results",
+    "write_suite",
 ]

@@ -20,13 +20,15 @@ def money_sum(c: Column | str) -> Column:
 
 
 def signed_rollup(
-    df: DataFrame, by: list[str], amount: str = "amount", inclusive_zero: bool = True
-) -> DataFrame:
+    df: DataFrame, by: list[str], amount: str = "amount", inclusive_zero: bool = True,
+    rows: str | None = None,
+) -> DataFrame:
     """Revenue (positive part), expenses (negative part), net and row count per group.
 
     A NULL amount counts as 0 in revenue and expenses and is skipped by the net,
     so a group of NULLs has net NULL. ``inclusive_zero`` tests ``>= 0`` instead of
-    ``> 0``; the sums are the same.
+    ``> 0``; the sums are the same. ``rows`` names the number of rows that a row of sums of one
+    sign stands for, as ``sums_by_sign`` gives them.
     """
     a = F.col(amount)
     zero = F.lit(0).cast("decimal(18,2)")
@@ -35,10 +37,20 @@ def signed_rollup(
         money_sum(F.when(positive, a).otherwise(zero)).alias("total_revenue"),
         money_sum(F.when(a < 0, a).otherwise(zero)).alias("total_expenses"),
         money_sum(a).alias("net_amount"),
-        F.count(F.lit(1)).alias("transaction_count"),
+        (F.sum(rows) if rows else F.count(F.lit(1))).alias("transaction_count"),
     )
 
 
+def sums_by_sign(df: DataFrame, by: list[str], amount: str = "amount") -> DataFrame:
+    """Rows and sum per group and sign of the amount: ``by``, sign, amount, rows.
+
+    Every coarser signed rollup can be taken from these. NULL amounts are groups of their own.
+    """
+    a = F.col(amount)
+    sign = F.when(a > 0, 1).when(a < 0, -1).when(a == 0, 0).alias("sign")
+    return df.groupBy(*by, sign).agg(money_sum(a).alias(amount), F.count(F.lit(1)).alias("rows"))
+
+
 def regroup(df: DataFrame, by: list[str], measures: tuple[str, ...] = MEASURES) -> DataFrame:
     """Sum already rolled-up measures over a coarser grouping."""
     counts = {"transaction_count"}

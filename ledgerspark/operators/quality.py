@@ -7,13 +7,17 @@ one row per expectation leaves the executors.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.operators.rules import duplicate_values
+
 EXISTS = "expect_column_to_exist"
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -121,13 +125,9 @@ def _compile(e: Expectation, i: int, present: bool) -> tuple[list[Column], Colum
 
 def _uniqueness(df: DataFrame, e: Expectation) -> DataFrame:
     """Counts every row of a duplicated non-NULL value as unexpected."""
-    per_value = df.groupBy(F.col(e.column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    repeated = F.when(F.col("v").isNotNull() & (F.col("c") > 1), F.col("c")).otherwise(0)
-    counts = per_value.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(repeated), F.lit(0)).alias("bad"),
-        F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("c"))), F.lit(0)).alias("total"),
-    )
+    repeated = duplicate_values(df, e.column).agg(F.coalesce(F.sum("records"), F.lit(0)))
+    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count(e.column).alias("total"))
+    counts = counts.select("n", "total", repeated.scalar().alias("bad"))
     bad, total = F.col("bad"), F.col("total")
     ok = (total == 0) | (F.try_divide(total - bad, total) >= e.mostly)
     return counts.select(_result(e, ok, unexpected=bad).alias("r")).select("r.*")
@@ -235,3 +235,119 @@ def contract_suite(contract: list[ContractField]) -> list[Expectation]:
 def contract_violations(df: DataFrame, contract: list[ContractField]) -> DataFrame:
     """Result rows of the contract's rules on a table that fits it."""
     return run_suite(apply_contract(df, contract), contract_suite(contract))
+
+
+FAILURE_CASES = "row_id string, column_name string, rule string, value string"
+
+
+def _contract_cases(field: ContractField) -> list[tuple[str, Column]]:
+    """(rule, condition of its failure) for one column; a value that is no such type fails only that."""
+    raw = F.col(field.name)
+    value = raw.try_cast(field.dtype)
+    rules = [(f"type {field.dtype}", raw.isNotNull() & value.isNull())]
+    if not field.nullable:
+        rules.append(("not null", raw.isNull()))
+    if field.ge is not None:
+        rules.append((f">= {field.ge}", value < field.ge))
+    if field.le is not None:
+        rules.append((f"<= {field.le}", value > field.le))
+    return rules
+
+
+def split_by_contract(
+    df: DataFrame, contract: list[ContractField], row_id: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep the contract, cast to it, and the failure cases of all others.
+
+    The cases (``FAILURE_CASES``) name the row, column, rule and the value as it came; a row has one for
+    each rule it breaks. No bad value ends the job. Both tables are plans over ``df`` without a
+    shuffle; every row is in exactly one of them, null and repeated ids included. Raises
+    ValueError for an absent column.
+    """
+    absent = [f.name for f in contract if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"columns missing from table: {absent}")
+    cases = [
+        F.when(
+            fails,
+            F.struct(
+                F.lit(field.name).alias("column_name"),
+                F.lit(rule).alias("rule"),
+                F.col(field.name).cast("string").alias("value"),
+            ),
+        )
+        for field in contract
+        for rule, fails in _contract_cases(field)
+    ]
+    judged = df.withColumn("__cases", F.array_compact(F.array(*cases)))
+    typed = [F.col(f.name).try_cast(f.dtype).alias(f.name) for f in contract]
+    accepted = judged.where(F.size("__cases") == 0).select(*typed)
+    rows = judged.where(F.size("__cases") > 0)
+    return accepted, rows.select(F.col(row_id).cast("string").alias("row_id"), F.inline("__cases"))
+
+
+def suite_to_json(suite: list[Expectation], name: str) -> str:
+    """A suite in the stored form: type, arguments and notes of every expectation."""
+    stored = []
+    for e in suite:
+        kwargs: dict[str, object] = {"column": e.column}
+        if e.kind == IN_SET:
+            kwargs["value_set"] = [_plain_value(v) for v in e.values]
+        for key in ("min_value", "max_value"):
+            if (bound := getattr(e, key)) is not None:
+                kwargs[key] = _plain_value(bound)
+        if e.strict:
+            kwargs |= {"strict_min": True, "strict_max": True}
+        if e.mostly != 1.0:
+            kwargs["mostly"] = e.mostly
+        if e.expression:
+            kwargs["expression"] = e.expression
+        stored.append({"expectation_type": e.kind, "kwargs": kwargs, "meta": {}})
+    return json.dumps({"data_asset_type": None, "expectation_suite_name": name, "expectations": stored}, indent=2)
+
+
+def _plain_value(value: object) -> object:
+    if isinstance(value, Decimal):
+        return int(value) if value == value.to_integral_value() else str(value)
+    return value
+
+
+KINDS = {EXISTS, NOT_NULL, UNIQUE, IN_SET, VALUES_BETWEEN, MIN_BETWEEN, MAX_BETWEEN, EQUAL_TO, EXPRESSION}
+ARGUMENTS = {"column", "value_set", "min_value", "max_value", "strict_min", "strict_max", "mostly", "expression"}
+
+
+def suite_from_json(text: str) -> list[Expectation]:
+    """The expectations of a stored suite; an unknown type or argument is an error, not a passed check."""
+    suite = []
+    for stored in json.loads(text, parse_float=Decimal)["expectations"]:
+        kind, kwargs = stored["expectation_type"], stored["kwargs"]
+        if kind not in KINDS or not set(kwargs) <= ARGUMENTS:
+            raise ValueError(f"cannot run {kind} with {sorted(kwargs)}")
+        strict = {bool(kwargs[k]) for k in ("strict_min", "strict_max") if k in kwargs}
+        if len(strict) > 1:
+            raise ValueError(f"{kind}: bounds are strict both or neither")
+        suite.append(
+            Expectation(
+                kind,
+                kwargs["column"],
+                values=tuple(kwargs.get("value_set") or ()),
+                min_value=kwargs.get("min_value"),
+                max_value=kwargs.get("max_value"),
+                strict=True in strict,
+                mostly=float(kwargs.get("mostly", 1.0)),
+                expression=kwargs.get("expression", ""),
+            )
+        )
+    return suite
+
+
+def write_suite(spark: SparkSession, suite: list[Expectation], path: str, name: str) -> None:
+    """Store a suite as JSON text below ``path``."""
+    frame = spark.createDataFrame([(suite_to_json(suite, name),)], "value string")
+    frame.coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_suite(spark: SparkSession, path: str) -> list[Expectation]:
+    """The suite stored in a JSON file, or in the folder that ``write_suite`` has written."""
+    (row,) = spark.read.text(path, wholetext=True).collect()
+    return suite_from_json(row.value)

@@ -17,6 +17,7 @@ from ledgerspark.plans.marts import (
     filtered_rollup,
     kpi_monthly_summary,
     mart_agency_fund_year,
+    mart_base,
     mart_fund_year_period,
     missing_period_rows,
     revenue_by_department,
@@ -49,6 +50,7 @@ __all__ = [
     "filtered_rollup",
     "kpi_monthly_summary",
     "mart_agency_fund_year",
+    "mart_base",
     "mart_fund_year_period",
     "missing_period_rows",
     "revenue_by_department",

@@ -16,12 +16,27 @@ from ledgerspark.operators.aggregates import (
     plan_vs_actual,
     regroup,
     signed_rollup,
+    sums_by_sign,
 )
 from ledgerspark.operators.joins import Lookup, star_join, weighted_sum
 from ledgerspark.operators.series import missing_periods, period_scaffold, prior_period_delta
 from ledgerspark.plans.facts import name_lookups
 
 SCAFFOLD_KEYS = ["fiscal_year", "fund_sk", "agency_sk"]
+#: The keys of which every mart uses some.
+BASE_KEYS = ["fiscal_year", "accounting_period", "agency_sk", "fund_sk", "department_sk", "account_sk", "ledger"]
+
+
+def mart_base(fact: DataFrame) -> DataFrame:
+    """The fact summed by all mart keys and sign; written once, every mart rolls up from it.
+
+    All marts below, and ``key_summary``, take it in place of the fact and give the same rows.
+    """
+    return sums_by_sign(fact, BASE_KEYS)
+
+
+def _rollup(fact: DataFrame, by: list[str], **options: bool) -> DataFrame:
+    return signed_rollup(fact, by, rows="rows" if "rows" in fact.columns else None, **options)
 
 
 def _with_month(df: DataFrame) -> DataFrame:
@@ -34,7 +49,7 @@ def kpi_monthly_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFram
     Departments that share a name are one group; rows without a department keep a
     group with NULL name.
     """
-    by_key = signed_rollup(
+    by_key = _rollup(
         _with_month(fact), ["fiscal_year", "month", "department_sk"], inclusive_zero=False
     )
     names = Lookup(dims["dim_departments"], "department_sk", "department_sk", ["department_name"])
@@ -47,7 +62,7 @@ def mart_fund_year_period(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFr
 
     A fund row is one (key, code, name), so the joined sums need no second grouping.
     """
-    by_key = signed_rollup(_with_month(fact), ["fiscal_year", "month", "fund_sk"])
+    by_key = _rollup(_with_month(fact), ["fiscal_year", "month", "fund_sk"])
     funds = dims["dim_funds"].withColumnRenamed("fund_business_key", "fund_code")
     lookup = Lookup(funds, "fund_sk", "fund_sk", ["fund_code", "fund_name"])
     columns = ["fiscal_year", "month", "fund_code", "fund_name", *MEASURES]
@@ -56,7 +71,7 @@ def mart_fund_year_period(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFr
 
 def mart_agency_fund_year(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Measures per year, agency and fund; rows without either are left out."""
-    by_key = signed_rollup(fact, ["fiscal_year", "agency_sk", "fund_sk"])
+    by_key = _rollup(fact, ["fiscal_year", "agency_sk", "fund_sk"])
     agencies = dims["dim_agencies"].withColumnRenamed("agency_business_key", "agency_id")
     funds = dims["dim_funds"].withColumnRenamed("fund_business_key", "fund_code")
     lookups = [

@@ -27,8 +27,8 @@ from ledgerspark.plans.suites import (
     SILVER_COLUMN_SUITE,
     SILVER_SUITE,
 )
-from ledgerspark.sources.csv_files import read_ledger_csv
-from ledgerspark.sources.tables import CONCURRENT_WRITES, materialize
+from ledgerspark.sources.csv_files import declared_columns, ledger_files
+from ledgerspark.sources.tables import CONCURRENT_WRITES, materialize, write_table
 
 DIM_BUILDERS = {
     "dim_agencies": d.dim_agencies,
@@ -42,11 +42,12 @@ DIM_BUILDERS = {
 
 @dataclass
 class Gold:
-    """Written dimensions, the written fact, and the marts as plans over them."""
+    """Written dimensions, fact and mart base, and the marts as plans over them."""
 
     dims: dict[str, DataFrame]
     fact: DataFrame
     marts: dict[str, DataFrame]
+    base: DataFrame | None = None
 
 
 def build_silver(
@@ -85,10 +86,15 @@ def build_fact(silver: DataFrame, dims: dict[str, DataFrame], path: str) -> Data
     return materialize(fct_transactions(silver, dims), f"{path}/fct_transactions", "fiscal_year")
 
 
-def mart_plans(fact: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def mart_plans(
+    fact: DataFrame, dims: dict[str, DataFrame], base: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All marts as plans; with ``base``, a written ``mart_base``, none but the joined rows reads the fact."""
+    joined = transactions_decorated(fact, dims)
+    fact = fact if base is None else base
     monthly = m.department_spend_monthly(fact, dims)
     return {
-        "int_transactions_joined_to_dims": transactions_decorated(fact, dims),
+        "int_transactions_joined_to_dims": joined,
         "int_department_spend_monthly": monthly,
         "int_variance_features": m.variance_vs_prior_month(monthly),
         "kpi_monthly_summary": m.kpi_monthly_summary(fact, dims),
@@ -102,7 +108,8 @@ def mart_plans(fact: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFra
 def build_gold(silver: DataFrame, path: str, one_name: bool = False) -> Gold:
     dims = build_dims(silver, path, one_name)
     fact = build_fact(silver, dims, path)
-    return Gold(dims, fact, mart_plans(fact, dims))
+    base = materialize(m.mart_base(fact), f"{path}/int_mart_base")
+    return Gold(dims, fact, mart_plans(fact, dims, base), base)
 
 
 FOREIGN_KEYS = {
@@ -117,7 +124,7 @@ def key_summary(fact: DataFrame) -> DataFrame:
     """Rows and signed totals per year, period and foreign keys: one scan for many tests."""
     amount = F.col("amount")
     return fact.groupBy("fiscal_year", "accounting_period", *FOREIGN_KEYS).agg(
-        F.count(F.lit(1)).alias("rows"),
+        (F.sum("rows") if "rows" in fact.columns else F.count(F.lit(1))).alias("rows"),
         money_sum(F.when(amount >= 0, amount)).alias("positive"),
         money_sum(F.when(amount < 0, amount)).alias("negative"),
     )
@@ -222,13 +229,15 @@ def run_pipeline(
     """Raw CSV to ``out/{silver,gold,validation}``, every table as zstd Parquet.
 
     Gold is built only after the silver suite holds, and the marts are written only
-    after the gold suite holds. At the end all model tests run; their counts are saved in
+    after the gold suite holds. Lines that do not fit their file go to ``validation/rejects``. At the end all model tests run; their counts are saved in
     ``validation/models``, codes with several names in ``validation/names``, and a violation
     stops the run unless its test is in ``warn_only``. Each table is written once, where it is
     exported; the joined transactions stay a plan unless ``write_joined``. Returns gold and the
     violations of the model tests.
     """
-    raw = read_ledger_csv(spark, raw_root, RAW_COLUMNS, pattern, **(csv_options or {}))
+    files = ledger_files(spark, raw_root, RAW_COLUMNS, pattern, **(csv_options or {}))
+    write_table(files.rejects(), f"{out}/validation/rejects")
+    raw = declared_columns(files.rows(), RAW_COLUMNS)
     silver = build_silver(raw, f"{out}/silver/stg_ledger", rebalance, dedupe, **staging_options)
     silver_suite = SILVER_SUITE if silver_suite is None else silver_suite
     if silver_suite:
@@ -251,7 +260,7 @@ def run_pipeline(
         done.add("int_transactions_joined_to_dims")
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(write, [name for name in gold.marts if name not in done]))
-    summary = materialize(key_summary(gold.fact), f"{out}/validation/key_summary")
+    summary = materialize(key_summary(gold.base), f"{out}/validation/key_summary")
     d.codes_with_several_names(gold.dims).write.mode("overwrite").json(f"{out}/validation/names")
     tests = model_tests(silver, gold, targets, summary, silver_suite)
     run_tests(tests, f"{out}/validation/models", warn_only)

@@ -19,10 +19,11 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.sources.manifest import ONE_FILE
+
 #: Preferred in this order when several fit equally well; other characters come after them.
 SEPARATORS = (",", ";", "\t", "|")
 QUOTES = ('"', "'")
-ONE_FILE = str(1 << 40)
 NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
 
 

@@ -22,11 +22,10 @@ from ledgerspark.sources.csv_dialect import (
     field_count,
     header_lines,
 )
-from ledgerspark.sources.manifest import list_files
+from ledgerspark.sources.manifest import COMPRESSED, list_files, plain_path
 
 LOG = logging.getLogger(__name__)
 SOURCE_PATH = "source_path"
-COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 PROBES = 16
 _CORRUPT = "_rejected_line"
 _KEEP_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
@@ -247,8 +246,8 @@ def look_at_csv(
     heads = header_lines(spark, paths, encoding) if paths else {}
     if not heads:
         raise FileNotFoundError(f"no CSV file with a header matches {root}/{pattern}")
-    seen = {_plain(p) for p in heads}
-    blank = sorted(p for p in paths if _plain(p) not in seen)
+    seen = {plain_path(p) for p in heads}
+    blank = sorted(p for p in paths if plain_path(p) not in seen)
     if blank:
         LOG.warning("%d of %d files hold blank lines only", len(blank), len(paths))
     dialects = detect_dialects(spark, heads, sep, quote, encoding, header, multi_line)
@@ -264,11 +263,6 @@ def look_at_csv(
     return CsvFiles(spark, root, encoding, dialects, blank)
 
 
-def _plain(path: str) -> str:
-    """One spelling for ``file:/x`` and ``file:///x``."""
-    return re.sub(r"^([a-zA-Z][\w+.-]*:)/+", r"\1/", path)
-
-
 def _left_open(line: str, quote: str) -> bool:
     return line.count(quote) % 2 == 1
 
@@ -366,13 +360,19 @@ def merge_raw(
     return spark.read.options(**written).schema(df.schema).csv(out), skipped
 
 
-def write_csv(df: DataFrame, out: str, partition_by: list[str] | None = None) -> None:
-    """CSV with a header, spaces kept and quotes doubled, as the readers expect."""
+def write_csv(
+    df: DataFrame, out: str, partition_by: list[str] | None = None, keep_others: bool = False
+) -> None:
+    """CSV with a header, spaces kept and quotes doubled, as the readers expect.
+
+    ``keep_others`` replaces only the partitions that ``df`` has rows of.
+    """
     writer = df.write.mode("overwrite").options(
         header=True,
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
+        partitionOverwriteMode="dynamic" if keep_others else "static",
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)

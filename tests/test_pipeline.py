@@ -9,8 +9,8 @@ import pytest
 
 from ledgerspark.operators import SuiteFailed
 from ledgerspark.plans import RAW_COLUMNS, filtered_rollup, run_pipeline, stage_ledger
-from ledgerspark.plans.pipeline import WARN_ONLY, TestsFailed, model_tests, run_tests
-from ledgerspark.sources import read_ledger_csv, register_views, targets_frame
+from ledgerspark.plans.pipeline import WARN_ONLY, TestsFailed, build_gold, mart_plans, model_tests, run_tests
+from ledgerspark.sources import materialize, read_ledger_csv, register_views, targets_frame
 
 LINE = {
     "AGENCYNBR": "090",
@@ -89,7 +89,7 @@ def test_pipeline(spark, raw_root, tmp_path):
     assert decorated.groupBy().sum("amount").collect()[0][0] == D("104.00")
 
     out = tmp_path / "out"
-    assert len(list((out / "gold").iterdir())) == 14  # the joined transactions stay a plan
+    assert len(list((out / "gold").iterdir())) == 15  # the joined transactions stay a plan
     saved = {r.test: r.violations for r in spark.read.json(f"{out}/validation/models").collect()}
     assert saved["period_completeness"] == 33
     names = spark.read.json(f"{out}/validation/names").collect()
@@ -165,3 +165,24 @@ def test_broken_foreign_key_is_found(spark, raw_root, tmp_path):
     gold.dims["dim_funds"] = gold.dims["dim_funds"].where("fund_business_key != '200'")
     with pytest.raises(TestsFailed, match="relationships_fund_sk: 1"):
         run_tests(model_tests(silver, gold), f"{tmp_path}/tests")
+
+
+def test_marts_read_the_base_only(spark, raw_root, tmp_path):
+    raw = read_ledger_csv(spark, str(raw_root), RAW_COLUMNS)
+    silver = materialize(stage_ledger(raw), str(tmp_path / "silver"))
+    gold = build_gold(silver, str(tmp_path / "gold"))
+    from_fact = mart_plans(gold.fact, gold.dims)
+    assert gold.base.count() < gold.fact.count()
+    for name, mart in gold.marts.items():
+        own = sorted(map(str, mart.select(*sorted(mart.columns)).collect()))
+        assert own == sorted(map(str, from_fact[name].select(*sorted(mart.columns)).collect())), name
+        reads_fact = any("/fct_transactions/" in f for f in mart.inputFiles())
+        assert reads_fact == (name == "int_transactions_joined_to_dims"), name
+
+
+def test_rejected_lines_are_kept(spark, raw_root, tmp_path):
+    with (raw_root / "ledger_fy24_qtr1.csv").open("a") as f:
+        f.write("too,short\n")
+    run_pipeline(spark, str(raw_root), str(tmp_path / "out"), silver_suite=[], gold_suite=[])
+    rejects = spark.read.parquet(f"{tmp_path}/out/validation/rejects").collect()
+    assert [tuple(r) for r in rejects] == [("ledger_fy24_qtr1.csv", "too,short", "2 of 36 fields")]

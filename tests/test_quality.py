@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import json
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark import operators as op
 from ledgerspark.operators import quality as q
+from ledgerspark.operators.quality import MIN_BETWEEN, NOT_NULL, ContractField
 from ledgerspark.plans import GOLD_SUITE, LEDGER_CONTRACT, SILVER_SUITE
+from ledgerspark.plans.suites import FUND_MART_SUITE, KPI_SUITE, SILVER_STORED_SUITE
 
 
 def run(df, *expectations):
@@ -104,3 +108,52 @@ def test_contract(spark):
         op.apply_contract(df.drop("vendor_name"), LEDGER_CONTRACT)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         op.apply_contract(df.withColumn("quarter", df.fund_code), LEDGER_CONTRACT).collect()
+
+
+def test_rows_and_failure_cases_of_a_contract(spark):
+    rows = [
+        ("a", "1.5", "2024", 1, "d"), ("b", "x", "FY24", 5, None), ("c", None, None, None, None),
+        (None, "2", "1999", 4, ""), ("a", "3", "2051", 0, "d"),
+    ]
+    df = spark.createDataFrame(rows, "id string, amount string, fiscal_year string, quarter int, rule string")
+    contract = [ContractField("amount", "double"), ContractField("fiscal_year", "int", ge=2000, le=2050),
+                ContractField("quarter", "int", ge=1, le=4), ContractField("rule", "string", nullable=True)]
+    accepted, cases = op.split_by_contract(df, contract, "id")
+    assert [tuple(r) for r in accepted.collect()] == [(1.5, 2024, 1, "d")]
+    assert sorted(map(tuple, cases.collect()), key=str) == sorted([
+        ("b", "amount", "type double", "x"), ("b", "fiscal_year", "type int", "FY24"), ("b", "quarter", "<= 4", "5"),
+        ("c", "amount", "not null", None), ("c", "fiscal_year", "not null", None), ("c", "quarter", "not null", None),
+        (None, "fiscal_year", ">= 2000", "1999"), ("a", "fiscal_year", "<= 2050", "2051"), ("a", "quarter", ">= 1", "0"),
+    ], key=str)
+    with pytest.raises(ValueError, match="amount"):
+        op.split_by_contract(df.drop("amount"), contract, "id")
+    nothing = op.split_by_contract(df.limit(0), contract, "id")
+    assert [x.count() for x in nothing] == [0, 0]
+
+
+@pytest.mark.parametrize("suite", [SILVER_SUITE, SILVER_STORED_SUITE, GOLD_SUITE, KPI_SUITE, FUND_MART_SUITE])
+def test_suites_as_json(spark, tmp_path, suite):
+    assert op.suite_from_json(op.suite_to_json(suite, "s")) == suite
+    op.write_suite(spark, suite, str(tmp_path / "s"), "s")
+    assert op.read_suite(spark, str(tmp_path / "s")) == suite
+
+
+def test_json_that_cannot_be_run():
+    def text(kind, **kwargs):
+        return json.dumps({"expectations": [{"expectation_type": kind, "kwargs": kwargs}]})
+
+    for bad in (text("expect_magic", column="a"), text(NOT_NULL, column="a", regex="x"),
+                text(MIN_BETWEEN, column="a", strict_min=True, strict_max=False)):
+        with pytest.raises(ValueError, match="expect_"):
+            op.suite_from_json(bad)
+
+
+def test_fingerprints_that_meet_by_chance(spark, monkeypatch):
+    # All values share one fingerprint; the counts stay exact.
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,), (None,), ("c",), ("d",), ("d",), ("d",)], "v string")
+    unique = q.Expectation(q.UNIQUE, "v")
+    assert sorted(map(tuple, op.duplicate_values(df, "v").collect())) == [("b", 2), ("d", 3)]
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(7).cast("long"))
+    assert sorted(map(tuple, op.duplicate_values(df, "v").collect())) == [("b", 2), ("d", 3)]
+    assert run(df, unique) == [(False, 5)]
+    assert run(df.where("v = 'c'"), unique) == run(df.limit(0), unique) == [(True, 0)]

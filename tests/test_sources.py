@@ -352,3 +352,15 @@ print("ROWS", [tuple(r) for r in read_csv_by_name(spark, {str(tmp_path)!r}).coll
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert "ROWS [('1', 'x\\ny', 'a.csv')]" in run.stdout, run.stderr[-2000:]
+
+
+def test_digests_of_whole_files(spark, tmp_path):
+    mark = b"\xef\xbb\xbf"
+    texts = [b"a\nb\n", b"a\nb", b"\n", b"\n\n\n", mark + b"a\n", mark + b"a", mark + b"\n", mark, b"\x00\xff\n\r\n\r",
+             b"x" * 200_000 + b"\ny", b"\r", b"l\n" * 30_000]
+    for k, content in enumerate(texts):
+        (tmp_path / f"{k} é.bin").write_bytes(content)
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"a,b\n"))
+    got = {Path(r.path).name: (r.length, r.sha256) for r in file_manifest(spark, f"{tmp_path}/*").collect()}
+    files = {p.name: p.read_bytes() for p in tmp_path.iterdir()}
+    assert got == {name: (len(c), hashlib.sha256(c).hexdigest()) for name, c in files.items()}
