@@ -193,7 +193,7 @@ class Layers:
         path, out = f"{self.root}/moving", f"{self.root}/releases"
         lines = self.raw.withColumnRenamed("source_path", "file")
         changed, late = (F.startswith("file", F.lit(f"ledger_fy{y}")) for y in ("96", "98"))
-        other = F.when(changed, F.concat(F.lit("9"), F.ltrim(F.lit("-"), "POSTED_TOTAL_AMT")))
+        other = F.when(changed, F.concat(F.lit("9"), F.ltrim("POSTED_TOTAL_AMT", F.lit("-"))))
         amount = F.coalesce(other, "POSTED_TOTAL_AMT")
         write_csv(lines.where(~late).withColumn("POSTED_TOTAL_AMT", amount), path, ["file"])
         loose = (*WARN_ONLY, "columns_stg_ledger")  # the sample's years are not the accepted ones
