@@ -926,6 +926,24 @@ ORACLE_SQL: dict[str, str] = {
     "table_profile_approx": sql(
         f"select *, true as close from ({profile('silver', PROFILED, NUMERIC)})", "silver"
     ),
+    "profile_merged": sql(
+        " union all ".join(
+            f"""
+    select '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count,
+      cast(min({c}) as varchar) as min, cast(max({c}) as varchar) as max,
+      {f"count(*) filter ({c} = 0)" if c in NUMERIC else "null::bigint"} as zeros,
+      {"null::bigint" if c in NUMERIC else f"min(length({c}))"} as shortest,
+      {"null::bigint" if c in NUMERIC else f"max(length({c}))"} as longest,
+      {f"round(avg(cast({c} as double)), 2)" if c in NUMERIC else "null::double"} as mean,
+      {f"round(stddev_samp(cast({c} as double)), 1)" if c in NUMERIC else "null::double"} as stddev,
+      {"null::double" if c in NUMERIC else f"round(avg(length({c})), 2)"} as mean_length,
+      true as quantiles_close
+    from silver"""
+            for c in PROFILED
+            if c != "fiscal_year"
+        ),
+        "silver",
+    ),
     "table_shape": sql(
         "select count(*) as row_count, cast(38 as bigint) as column_count from silver", "silver"
     ),

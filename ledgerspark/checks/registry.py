@@ -22,6 +22,7 @@ from ledgerspark.checks.sample_ledger import (
     text,
 )
 from ledgerspark.operators.aggregates import money_sum
+from ledgerspark.operators.profiling import QUANTILES
 from ledgerspark.operators.quality import (
     EQUAL_TO,
     IN_SET,
@@ -829,6 +830,27 @@ def table_profile_approx(x: Layers) -> DataFrame:
     return both.withColumn("close", close).withColumn("distinct_count", F.col("exact")).drop("exact")
 
 
+@on_layers
+def profile_merged(x: Layers) -> DataFrame:
+    """Sketches of every year, stored and merged, and whether quantiles lie within 2 % of their ranks."""
+    columns = [f for f in x.silver.schema.fields if f.name != "fiscal_year"]
+    sketches = materialize(op.profile_sketches(x.silver, ["fiscal_year"]), fresh_path(x.spark, "sketches"))
+    merged = materialize(op.merge_profiles(sketches, columns), fresh_path(x.spark, "profile"))
+    checks = []
+    for r in merged.where("median is not null").collect():  # one row per numeric column
+        c = F.col(r.column_name).cast("double")
+        shares = [(p, F.avg((c < r[q]).cast("int")), F.avg((c <= r[q]).cast("int"))) for q, p in QUANTILES.items()]
+        near = [(below - 0.02 <= p) & (upto + 0.02 >= p) for p, below, upto in shares]
+        checks.append(F.struct(F.lit(r.column_name).alias("column_name"), F.array_min(F.array(*near)).alias("close")))
+    close = x.silver.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+    exact = ["column_name", "row_count", "null_count", "min", "max", "zeros", "shortest", "longest"]
+    digits = {"mean": 2, "stddev": 1, "mean_length": 2}
+    rounded_ = [F.round(c, n).alias(c) for c, n in digits.items()]
+    return merged.join(close, "column_name", "left").select(
+        *exact, *rounded_, F.coalesce("close", F.lit(True)).alias("quantiles_close")
+    )
+
+
 @on_layers
 def table_shape(x: Layers) -> DataFrame:
     return op.table_shape(x.silver)

@@ -16,7 +16,12 @@ from ledgerspark.operators.joins import (
     star_join,
     weighted_sum,
 )
-from ledgerspark.operators.profiling import table_profile, table_shape
+from ledgerspark.operators.profiling import (
+    merge_profiles,
+    profile_sketches,
+    table_profile,
+    table_shape,
+)
 from ledgerspark.operators.quality import (
     ContractField,
     Expectation,
@@ -64,6 +69,7 @@ __all__ = [
     "failures",
     "gate",
     "grouped_sum",
+    "merge_profiles",
     "missing_from",
     "missing_periods",
     "monthly_trend",
@@ -73,6 +79,7 @@ __all__ = [
     "period_scaffold",
     "plan_vs_actual",
     "prior_period_delta",
+    "profile_sketches",
     "read_suite",
     "reconcile",
     "run_suite",

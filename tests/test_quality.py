@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import math
 from decimal import Decimal as D
 
 import pytest
@@ -157,3 +158,22 @@ def test_fingerprints_that_meet_by_chance(spark, monkeypatch):
     assert sorted(map(tuple, op.duplicate_values(df, "v").collect())) == [("b", 2), ("d", 3)]
     assert run(df, unique) == [(False, 5)]
     assert run(df.where("v = 'c'"), unique) == run(df.limit(0), unique) == [(True, 0)]
+
+
+def test_merged_profile(spark):
+    rows = [(k % 3, float(k % 100), f"w{k % 7}" if k % 10 else None, k) for k in range(3000)]
+    rows += [(None, None, "w1", None), (None, math.nan, "", 5), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "g int, x double, t string, n long").repartition(5)
+    sketches = op.profile_sketches(df, ["g"])
+    halves = [sketches.where("g = 0"), sketches.where("g is null or g <> 0")]
+    merged = op.merge_profiles(halves[0].unionByName(halves[1]), df.schema.fields[1:])
+    x, t, n = (r.asDict() for r in merged.collect())
+    assert (x["row_count"], x["null_count"], x["zeros"], x["min"]) == (3003, 2, 30, "0.0")
+    assert x["mean"] == pytest.approx(49.5) and x["stddev"] == pytest.approx(28.87, abs=0.01)
+    assert abs(x["median"] - 50) <= 2 and abs(x["q95"] - 95) <= 2 and x["frequent"] is None
+    assert (t["null_count"], t["shortest"], t["longest"], t["distinct_estimate"]) == (301, 0, 2, 8)
+    assert t["frequent"][0].item == "w1" and t["frequent"][0]["count"] >= 380 and t["mean"] is None
+    assert (n["min"], n["max"]) == ("0", "2999") and abs(n["distinct_estimate"] - 3000) < 150
+    assert abs(n["q25"] - 750) < 60
+    empty = op.profile_sketches(df.limit(0), ["g"])
+    assert op.merge_profiles(empty, df.schema.fields[1:]).collect() == []
