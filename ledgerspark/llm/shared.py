@@ -25,7 +25,7 @@ _HELPERS: list[str] = []
 _in_stage = False
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write below the shared checkpoint folder and read back, which cuts the lineage.
 
     The table survives the executors that wrote it. Results may read it lazily, so it
@@ -34,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, f"llm-{name}")
     if _in_stage:
         _HELPERS.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return read_table(df.sparkSession, path, df)
 
 
