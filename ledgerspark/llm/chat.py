@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.shared import map_slices
@@ -43,35 +43,92 @@ def fold_events(events: DataFrame) -> DataFrame:
 
     ``kind`` is ``message`` (a whole text), ``delta`` (adds to the text), ``edit`` (replaces it) or
     ``regenerate`` (empties it, deltas follow). Events of one message are folded in the
-    order of seq; ties by kind, then text. A message stands where its first event stands and
-    has the last role that is not null. Events without a message id are messages of their own. Null text
-    is empty; other kinds change nothing. Returns conv, seq, role, text.
+    order of seq, nulls first; ties by kind, text, role. A message stands where its first event
+    stands and has the last role that is not null. Events without a message id are messages
+    of their own. Null text is empty; other kinds change nothing. Returns conv, seq, role, text.
 
-    Grouping is by message, so a long conversation is folded in many tasks.
+    Logs are dealt out by conversation and message, so a long conversation is folded in many
+    tasks, and streamed in order. A task holds the deltas of one message, which are
+    joined once, when the message ends.
     """
     text = F.coalesce("text", F.lit(""))
     alone = events.where(F.col("message").isNull() & F.col("kind").isin("message", "edit", "delta"))
     alone = alone.select("conv", "seq", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
-    step = F.struct("seq", "kind", text.alias("text"), "role")
-    groups = events.where(F.col("message").isNotNull()).groupBy("conv", "message")
-    steps = groups.agg(F.sort_array(F.collect_list(step)).alias("steps"))
-
-    def apply(done: Column, e: Column) -> Column:
-        kind = e["kind"]
-        new = F.when(kind == "delta", F.concat(done, e["text"]))
-        new = new.when(kind.isin("message", "edit"), e["text"]).when(kind == "regenerate", "")
-        return new.otherwise(done)
-
-    def latest(done: Column, e: Column) -> Column:
-        return F.coalesce(e["role"], done)
-
-    folded = steps.select(
-        "conv",
-        F.col("steps")[0]["seq"].alias("seq"),
-        F.aggregate("steps", F.lit(""), latest).alias("role"),
-        F.aggregate("steps", F.lit(""), apply).alias("text"),
-    )
-    return alone.unionByName(folded)
+    log = events.where(F.col("message").isNotNull())
+    log = log.select("conv", "message", "seq", "kind", text.alias("text"), "role")
+    ordered = log.repartition("conv", "message").sortWithinPartitions(*log.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, seq, role, parts, types = None, None, None, [], None
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(types, zip(*rows, strict=True), strict=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for t, c in columns], names=["conv", "seq", "role", "text"]
+            )
+
+        for batch in batches:
+            field = batch.schema.field
+            types = [field("conv").type, field("seq").type, pa.string(), pa.string()]
+            out = []
+            for e in batch.to_pylist():
+                key = (e["conv"], e["message"])
+                if key != of:
+                    if of is not None:
+                        out.append((of[0], seq, role or "", "".join(parts)))
+                    of, seq, role, parts = key, e["seq"], None, []
+                if e["role"] is not None:
+                    role = e["role"]
+                if e["kind"] in ("message", "edit", "regenerate"):
+                    parts = []
+                if e["kind"] in ("message", "edit", "delta"):
+                    parts.append(e["text"])
+            if out:
+                yield batch_of(out)
+        if of is not None:
+            yield batch_of([(of[0], seq, role or "", "".join(parts))])
+
+    conv, seq = (log.schema[c].dataType.simpleString() for c in ("conv", "seq"))
+    return alone.unionByName(map_slices(ordered, run, f"conv {conv}, seq {seq}, role string, text string"))
+
+
+#: Code points of a delta in a log made from whole turns.
+DELTA = 200
+
+
+def event_log(turns: DataFrame) -> DataFrame:
+    """The log of events that writes the turns conv, turn, role, text; see ``fold_events``.
+
+    A hash of conversation and turn decides how a turn comes about: streamed in deltas of DELTA
+    code points, as a draft that an edit replaces, or as a draft that is regenerated in
+    deltas. Folded, the log gives the turns again. Every row is a message of its own: rows of
+    one conversation and turn are numbered by role and text. seq is the turn and
+    the step in its log. Null text is empty.
+    """
+    text = F.coalesce("text", F.lit(""))
+    same = Window.partitionBy("conv", "turn").orderBy("role", "text")
+    way = F.pmod(F.xxhash64("conv", "turn"), F.lit(3))
+    rows = turns.select(
+        "conv", "turn", "role", text.alias("text"), way.alias("way"),
+        F.concat_ws(".", F.col("turn").cast("string"), F.row_number().over(same)).alias("message"),
+    )
+
+    def event(kind: str, text: Column, role: Column | None = None) -> Column:
+        role = F.lit(None).cast("string") if role is None else role
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"), role.alias("role"))
+
+    def opened(text: Column) -> Column:
+        return event("message", text, F.col("role"))
+
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA}}}"), F.lit(0))
+    deltas = F.transform(pieces, lambda piece: event("delta", piece))
+    draft = F.concat(F.lit("draft "), F.col("message"))
+    streamed = F.concat(F.array(opened(F.lit(""))), deltas)
+    edited = F.array(opened(draft), event("edit", F.col("text")))
+    again = F.concat(F.array(opened(draft), event("regenerate", F.lit(""))), deltas)
+    steps = F.when(F.col("way") == 0, streamed).when(F.col("way") == 1, edited).otherwise(again)
+    log = rows.select("conv", "turn", "message", F.posexplode(steps).alias("step", "event"))
+    return log.select("conv", F.struct("turn", "step").alias("seq"), "message", "event.*")
 
 
 def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
@@ -117,13 +174,16 @@ def render(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
     )
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """Digests of what the rendered segments say, in their order.
+def read_back(segments: DataFrame, in_order: bool = False) -> DataFrame:
+    """Digests of what the rendered segments say, in the order of their starts.
 
     Returns conv, n_turns, turns_sha256 (role, line feed, text, line feed per turn), loss_chars and loss_sha256
     (unescaped text under the loss mask), formatted_chars. ``segments`` is the result of
-    ``render``; each task reads on where the conversation goes on.
+    ``render``, from a table too. With ``in_order`` it comes straight from ``render`` and is not
+    shuffled again. A segment that does not go on where the last one ended is an error.
     """
+    if not in_order:
+        segments = segments.repartition("conv").sortWithinPartitions("conv", "start")
 
     names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
@@ -140,10 +200,12 @@ def read_back(segments: DataFrame) -> DataFrame:
         for batch in batches:
             kind, out = batch.schema.field("conv").type, []
             for row in batch.to_pylist():
-                if state is None or row["start"] == 0:
+                if row["start"] == 0:
                     if state is not None:
                         out.append(finished(state))
                     state = [row["conv"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                elif state is None or (row["conv"], row["start"]) != (state[0], state[5]):
+                    raise ValueError(f"conversation {row['conv']!r}: segments are missing or out of order")
                 segment = row["segment"]
                 role, text = SEGMENT.fullmatch(segment).groups()
                 state[1] += 1

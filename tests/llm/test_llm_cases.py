@@ -236,6 +236,27 @@ def test_chat(spark):
     assert chat.read_back(chat.render(chat.fold_events(none))).count() == 0
 
 
+def test_chat_log(spark, tmp_path):
+    """Logs fold to their turns, repeated and odd ones too; stored segments read back alike."""
+    long = "".join(chr(97 + k % 26) for k in range(70_001)) + "\U0001f600\r\n\u2028</s>"
+    turns = [(c, t, "user" if t % 2 else "assistant", f"{c}\n{t} " * (t * 40)) for c in range(40) for t in range(4)]
+    turns += [(50, 0, "user", long), (50, 0, "user", long), (50, 1, None, None), (50, None, "a", "x"), (None, 1, "b", "")]
+    frame = spark.createDataFrame(turns, "conv long, turn long, role string, text string")
+    log = chat.event_log(frame).withColumn("way", F.lit(1)).orderBy(F.rand(3))
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    folded = chat.fold_events(log)
+    got = multiset((r.conv, r.seq.turn, r.role, r.text) for r in folded.collect())
+    assert got == multiset((c, t, r or "", x or "") for c, t, r, x in turns)
+    segments = chat.render(folded)
+    straight = multiset(tuple(r) for r in chat.read_back(segments, in_order=True).collect())
+    assert len(straight) == 42
+    segments.repartition(7).write.parquet(str(tmp_path / "segments"))
+    again = spark.read.parquet(str(tmp_path / "segments"))
+    assert multiset(tuple(r) for r in chat.read_back(again).collect()) == straight
+    with pytest.raises(Exception, match="out of order"):
+        chat.read_back(again.where("start > 0").coalesce(1), in_order=True).collect()
+
+
 def test_packing(docs, empty):
     tokenizer = Tokenizer.from_file(WORDS)
     got = packing.pack_documents(docs, WORDS, capacity=512).collect()
