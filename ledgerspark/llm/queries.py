@@ -170,7 +170,7 @@ with docs as (
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
   from documents
 ), lines as (
-  select doc_id, count(*) - count(distinct line) as n_dup_lines
+  select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
   from (select doc_id, unnest(string_split(body, chr(10))) as line from docs)
   where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
 ), windows as (
@@ -185,23 +185,39 @@ with docs as (
   select d.doc_id, source, len(words) as n_words,
     length(array_to_string(words, '')) as word_chars,
     length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) as n_symbols,
-    coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
+    coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words
   from docs d left join lines using (doc_id) left join covered using (doc_id)
-), judged as (
-  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
+), failures as (
+  select source, unnest(['short', 'repeated', 'symbols', 'dup_lines']) as rule, unnest([
+    n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 10 * n_words,
+    100 * n_dup_lines > 30 * n_lines]) as failed
+  from counts
 ), hosts as (
-  select source, count(*) as n, count(*) filter (base_failed) as failed from judged group by source
-), prior as (
-  select avg(failed / n) as m, coalesce(var_samp(failed / n), 0) as v from hosts
-), weight as (
-  select m, case when v > 0 then least(greatest(m * (1 - m) / v - 1, 1), 1e6) else 1e6 end as s
-  from prior
+  select source, rule, count(*) as n, count(*) filter (failed) as f from failures group by all
+), said as (
+  select rule, n, f / n as p, n / (n + 10) as w from hosts
+), moments as (
+  select rule, sum(w) as w, sum(w * p) / sum(w) as m, sum(w / n) - sum(w * w / n) / sum(w) as drawn,
+    sum(w) - sum(w * w) / sum(w) as spread_of, sum(w * p * p) - sum(w * p) * sum(w * p) / sum(w) as spread
+  from said group by rule
+), priors as (
+  select rule, m, case
+    when spread_of - drawn > 1e-9 and spread - m * (1 - m) * drawn > 0
+    then least(greatest(m * (1 - m) * (spread_of - drawn) / (spread - m * (1 - m) * drawn) - 1, 1), 50)
+    else 50 end as s
+  from moments
 ), rates as (
-  select source, (failed + m * s) / (n + s) as rate from hosts, weight
+  select source, (f + m * s) / (n + s) as rate, n + s + 1 as size from hosts join priors using (rule)
+), verdicts as (
+  select source, bool_or(rate - 1.645 * sqrt(greatest(rate * (1 - rate), 0) / size) > 0.5) as host_failed
+  from rates group by source
+), judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and rate <= 0.9 as kept
-from judged join rates on judged.source is not distinct from rates.source
+  not base_failed and not host_failed as kept, n_lines, host_failed
+from judged join verdicts on judged.source is not distinct from verdicts.source
 """
 
 

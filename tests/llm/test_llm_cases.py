@@ -7,6 +7,8 @@ import random
 from pathlib import Path
 
 import brute
+import compare
+import duckdb
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
@@ -27,6 +29,7 @@ from ledgerspark.llm import (
     language,
     licences,
     packing,
+    queries,
     suffix_dedup,
     url_filter,
 )
@@ -148,6 +151,42 @@ def test_hosts_shrink(spark):
     assert by_id[1].kept
 
 
+def test_host_verdicts(spark):
+    """Bad hosts fail, for any rule, among many good ones; small hosts do not."""
+    good = [(f"g{h}", k % 20 == 0, False, k % 25 == 0, False) for h in range(300) for k in range(100)]
+    bad = [("short", k % 20 != 0, False, False, False) for k in range(100)]
+    bad += [(None, False, False, k % 5 != 0, False) for k in range(100)]
+    bad += [("lines", False, False, False, k % 3 != 0) for k in range(5000)]
+    small = [("small", True, True, True, True)] * 2 + [("half", k % 2 == 0, False, False, False) for k in range(5000)]
+    types = "host string, short boolean, repeated boolean, symbols boolean, dup_lines boolean"
+    frame = spark.createDataFrame(good + bad + small, types)
+    got = {r.host: r for r in host_quality.host_verdicts(frame).collect()}
+    assert {h for h, r in got.items() if r.host_failed} == {"short", None, "lines"}
+    assert got["small"].host_rate < 0.7 and len(got) == 305
+    assert host_quality.host_verdicts(frame.limit(0)).count() == 0
+    one = host_quality.host_verdicts(frame.where("host = 'short'")).collect()
+    assert [r.host_failed for r in one] == [True]
+
+
+def test_host_sql(spark, tmp_path):
+    """The query and its SQL agree where hosts are rejected."""
+    texts = {"good": prose(1, 60), "short": "few words", "symbols": prose(2, 60) + " # $ % & | # $ %"}
+    texts |= {"lines": "\n".join([prose(3, 30)] + [prose(4, 10)] * 3), "null": None}
+    rows = [(k, "short" if k % 10 else "good", "bad") for k in range(60)]
+    rows += [(100 + k, "good" if k % 9 else "short", f"h{k % 5}") for k in range(200)]
+    rows += [(400 + k, "symbols" if k % 8 else "good", None) for k in range(80)]
+    rows += [(500 + k, "lines" if k % 8 else "good", "dup") for k in range(80)]
+    rows += [(600, "null", "tiny"), (601, "short", "tiny"), (602, "good", "tiny")]
+    frame = spark.createDataFrame([(i, texts[t], h) for i, t, h in rows], "doc_id long, text string, source string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = queries.QUERIES["op3_host_quality"](spark, str(tmp_path)).toArrow()
+    assert compare.multiset_diff(duck, got, queries.ORACLE_SQL["op3_host_quality"]) == []
+    kept = {r["doc_id"] for r in got.to_pylist() if r["kept"]}
+    assert kept == {i for i, t, h in rows if t == "good" and h not in ("bad", None, "dup")}
+
+
 def test_byte_bpe(docs, empty):
     pattern = public_tokenizers.PATTERN
     ranks = byte_bpe.read_ranks(RANKS)
