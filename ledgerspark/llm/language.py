@@ -23,8 +23,8 @@ CACHE = 200_000
 BLOCK, BUILT = 128, 512
 #: Prototypes are sums of unit profiles in these steps; whole numbers add up alike in any order.
 STEP = 1 << 20
-#: Held-out documents that set the limits, about; share of their texts that may fall below.
-SAMPLED, FALSE_RATE = 8000, 0.001
+#: Share of the held-out texts that may fall below a limit.
+FALSE_RATE = 0.001
 #: Texts of 2 ** LONGEST letters or more are held to the same limit.
 LONGEST = 12
 #: Texts of a length that a limit needs.
@@ -227,20 +227,16 @@ def limits(
 ) -> list[float]:
     """For each magnitude, the score below which a text is in no learned language.
 
-    It comes from about SAMPLED documents that were held out and have a learned label, whole
+    It comes from all documents that were held out and have a learned label, whole
     and cut after 1, 2, 4 and so on characters: no more than FALSE_RATE of those of a
     magnitude lie below, nor what is within four deviations of their mean. With fewer
     than LEAST texts the limit of the next smaller magnitude with more holds, at first 0.
     """
     rows = docs.where(held_out(key) & F.col(lang).cast("string").isin(languages))
-    rows = rows.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
-    parts = 1 << 20
-    share = parts * SAMPLED // max(1, rows.count()) + 1
-    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(parts)) < share)
     sizes = [1 << k for k in range(LONGEST + 2)]
-    some = some.select("text", F.explode(F.array(*map(F.lit, sizes))).alias("size"))
-    some = some.where(F.length("text") * 2 > F.col("size")).select(F.expr("left(text, size)").alias("text"))
-    scored = predict_languages(some.withColumn("magnitude", magnitude("text")), languages, prototypes)
+    cuts = rows.select(text_or_empty(text).alias("text"), F.explode(F.array(*map(F.lit, sizes))).alias("size"))
+    cuts = cuts.where(F.length("text") * 2 > F.col("size")).select(F.expr("left(text, size)").alias("text"))
+    scored = predict_languages(cuts.withColumn("magnitude", magnitude("text")), languages, prototypes)
     low = F.percentile_approx("score", FALSE_RATE, 10_000)
     spread = F.avg("score") - 4 * F.stddev_pop("score")
     found = scored.where("magnitude is not null").groupBy("magnitude")
