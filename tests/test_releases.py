@@ -70,3 +70,24 @@ def test_parts_and_names():
     assert source_name("file:///data/raw/ledger_fy24.csv", root) == "ledger_fy24.csv"
     assert source_name("/data/raw/file=x.csv/part-0001.csv", root) == "x.csv"
     assert source_name("hdfs://host/data/raw/y/x.csv/part-0001.csv", root) == "y/x.csv"
+
+
+def test_rollups_by_department_share_one_job(spark, tmp_path):
+    """Lines are written once, and rollups are kept by year; a year that is gone leaves no rows."""
+    raw, out, whole = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "whole")
+    raw.mkdir()
+    write_lines(raw / "ledger_fy24_qtr1.csv", [{}, {"ROWID": "r2", "POSTED_TOTAL_AMT": "-4.00"}])
+    write_lines(raw / "ledger_fy25_qtr1.csv", [{"FISCAL_YEAR": "2025"}])
+    first = run_release(spark, str(raw), out)
+    (raw / "ledger_fy25_qtr1.csv").unlink()
+    second = run_release(spark, str(raw), out)
+    run_release(spark, str(raw), whole)
+    names = ["int_mart_base", "key_summary", "kpi_monthly_summary", "int_department_spend_monthly"]
+    for name in names:
+        assert first.tables[name][0].path.endswith(f"/gold/dealt/mart={name}")
+        assert [p.years for p in second.tables[name]] == [[2024], [2025]]
+        ours, plain = (published(spark, o, name) for o in (out, whole))
+        assert ours.columns == plain.columns
+        assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect())) != []
+    assert not list((tmp_path / "out").glob("release-*/staged"))
+    assert contents(spark, out) == contents(spark, whole)

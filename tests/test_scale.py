@@ -7,7 +7,9 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from ledgerspark import operators as op
+from ledgerspark import plans
 from ledgerspark.checks.sample_ledger import layers
+from ledgerspark.plans.pipeline import key_summary
 from ledgerspark.sources.csv_files import read_csv_by_name, write_csv
 from ledgerspark.sources.tables import materialize, open_partitions
 
@@ -54,3 +56,32 @@ def test_weighted_sum_shuffles_weights_not_keys(spark):
     assert {(r.d, str(r.t)) for r in sums.collect()} == {(0, "50.00"), (1, "51.00")}
     inner = [line for line in plan_of(sums).splitlines() if "Aggregate [" in line and "__sum" in line.split("], [")[-1]]
     assert inner and not any("wide" in line.split("], [")[0] for line in inner)
+
+
+def executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_base_is_dealt_out_once(spark):
+    """Lines are shuffled as they are, and what groups by department and month shuffles nothing again."""
+    x = layers(spark, SMALL)
+    base = plans.mart_base(x.fact)
+    plan = executed(base)
+    assert plan.count("Exchange hashpartitioning") == 1
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert "HashAggregate" not in below
+    assert executed(key_summary(base)).count("Exchange hashpartitioning") == 1
+    keys = ["fiscal_year", "accounting_period", *["agency_sk", "fund_sk", "department_sk", "account_sk"]]
+    plain = x.fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    ours = key_summary(plans.mart_base(x.fact, 3)).select(*keys, "rows")
+    assert not ours.exceptAll(plain).count() and not plain.exceptAll(ours).count()
+
+
+def test_unique_values_do_not_move(spark):
+    """The values are let into the join only once a repeated fingerprint has been found."""
+    rows = spark.range(1000).selectExpr("cast(id as string) as v")
+    found = op.duplicate_values(rows, "v")
+    assert "scalar-subquery" in plan_of(found)
+    assert found.collect() == []
+    twice = rows.unionByName(rows.where("v in ('3', '700')"))
+    assert sorted(map(tuple, op.duplicate_values(twice, "v").collect())) == [("3", 2), ("700", 2)]
