@@ -13,6 +13,7 @@ from ledgerspark.plans.marts import (
     budget_variance,
     budget_variance_conformed,
     completeness_scaffold,
+    deal_size,
     department_spend_monthly,
     filtered_rollup,
     kpi_monthly_summary,
@@ -39,6 +40,7 @@ __all__ = [
     "build_gold",
     "build_silver",
     "completeness_scaffold",
+    "deal_size",
     "department_spend_monthly",
     "dim_accounts",
     "dim_agencies",

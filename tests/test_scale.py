@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from ledgerspark import operators as op
 from ledgerspark import plans
+from ledgerspark.checks.registry import QUERIES
 from ledgerspark.checks.sample_ledger import layers
+from ledgerspark.plans import marts, pipeline
 from ledgerspark.plans.pipeline import key_summary
 from ledgerspark.sources.csv_files import read_csv_by_name, write_csv
 from ledgerspark.sources.tables import materialize, open_partitions
@@ -77,6 +79,25 @@ def test_base_is_dealt_out_once(spark):
     assert not ours.exceptAll(plain).count() and not plain.exceptAll(ours).count()
 
 
+def test_base_is_dealt_by_its_lines(spark, tmp_path, monkeypatch):
+    """A task groups a bounded number of lines, and not as many as the session's partitions leave to it."""
+    x = layers(spark, SMALL)
+    monkeypatch.setattr(marts, "LINES_A_TASK", 300)
+    whole = x.fact.count() // 300 + 1
+    assert whole > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plans.deal_size(x.fact) == whole
+    assert plans.deal_size(x.fact.limit(0)) == 1
+    assert f", {whole}), REPARTITION_BY_NUM" in executed(QUERIES["mart_base"](spark, SMALL))
+    monkeypatch.setattr(pipeline, "fct_transactions", lambda silver, dims: x.fact)
+    seen = []
+    monkeypatch.setattr(pipeline, "mart_plans", lambda fact, dims, base: seen.append(base) or {})
+    real = marts.mart_base
+    monkeypatch.setattr(marts, "mart_base", lambda fact, n=None: seen.append(n) or real(fact, n))
+    pipeline.build_gold(x.silver, str(tmp_path / "gold"))
+    assert seen[0] == whole
+    assert not seen[1].exceptAll(real(x.fact)).count() and not real(x.fact).exceptAll(seen[1]).count()
+
+
 def test_unique_values_do_not_move(spark):
     """The values are let into the join only once a repeated fingerprint has been found."""
     rows = spark.range(1000).selectExpr("cast(id as string) as v")
