@@ -13,7 +13,9 @@ from ledgerspark.operators.joins import (
     one_name_per_key,
     orphan_keys,
     orphan_rows,
+    pack,
     star_join,
+    unpack,
     weighted_sum,
 )
 from ledgerspark.operators.profiling import (
@@ -76,6 +78,7 @@ __all__ = [
     "one_name_per_key",
     "orphan_keys",
     "orphan_rows",
+    "pack",
     "period_scaffold",
     "plan_vs_actual",
     "prior_period_delta",
@@ -95,6 +98,7 @@ __all__ = [
     "totals",
     "unequal_columns",
     "unexpected_values",
+    "unpack",
     "weighted_sum",
     "write_results",
     "write_suite",
