@@ -9,7 +9,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from ledgerspark import operators as op
-from ledgerspark.checks.sample_ledger import raw_ledger
+from ledgerspark.checks.sample_ledger import layers, raw_ledger
 from ledgerspark.operators.joins import ESCAPE, SEPARATOR
 
 SMALL = "/root/testdata/sf0.001"
@@ -74,3 +74,11 @@ def test_raw_lines_keep_odd_texts(spark, tmp_path):
     raw = raw_ledger(spark, str(tmp_path)).where("trim(ROWID) <> ''")
     found = raw.select("ROWID", "PRODUCTDESCR", "PGMDESCR", "PRODUCT", "ACTIVITY")
     assert wanted.count() and not found.exceptAll(wanted).count() and not wanted.exceptAll(found).count()
+
+
+def test_fact_meets_departments_first(spark):
+    """The join for which lines may have to move comes before those that widen or repeat them."""
+    from ledgerspark.plans import fct_transactions
+
+    x = layers(spark, SMALL)
+    assert joins_of(fct_transactions(x.silver, x.dims))[-1] == "dept_id"
